@@ -1,6 +1,6 @@
 """Language identification by language-bitmask n-gram filters.
 
-Training: from a bounded sample of labelled rows (`sample_per_language`, `sample_chars`) the character n-grams of one to
+Training: from a bounded sample of labelled rows (`sample_rows`, `sample_chars`) the character n-grams of one to
 four letters (case folded, other characters as word borders) are counted per language. A language holds the n-grams
 whose relative frequency in it is at least `share` of the highest relative frequency in any language, the `grams`
 most frequent of them. Each goes into Bloom filters that are bit-sliced: slot j of the one table holds bit l if slot j
@@ -136,11 +136,11 @@ class Filters:
         return names, scores
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_per_language: int = 2000, sample_chars: int = 20_000, max_languages: int = 64, per_language: int = 30_000, share: float = 0.35, seed: int = 7) -> Filters:
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3200, sample_chars: int = 20_000, max_languages: int = 64, per_language: int = 30_000, share: float = 0.35, seed: int = 7) -> Filters:
     """Filters learned from the rows with text and label whose crc32(id as text) mod 4 is not 2.
 
-    Bounds: about `sample_per_language` rows of each of the `max_languages` most frequent languages, by a hash of the
-    id, and of these rows the first `sample_chars` characters. Prediction has no such bounds.
+    Bounds: about `sample_rows` rows, dealt evenly to the `max_languages` most frequent languages and picked by a hash
+    of the id, and of these rows the first `sample_chars` characters. Prediction has no such bounds.
     """
     key = F.col(id_col).cast("string")
     rows = docs.select(key.alias("k"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull() & (F.coalesce(F.crc32(F.col("k").cast("binary")), F.lit(0)) % 4 != 2))
@@ -149,13 +149,15 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     part = F.pmod(F.xxhash64(F.lit(seed), "k"), F.lit(1_000_000))
     taken = F.lit(False)
     for r in sizes:
-        taken = taken | ((F.col("l") == r["l"]) & (part < int(1_000_000 * min(1.0, sample_per_language / r["count"])) + 1))
+        taken = taken | ((F.col("l") == r["l"]) & (part < int(1_000_000 * min(1.0, sample_rows / len(sizes) / r["count"])) + 1))
     seen: dict[str, Counter] = {r["l"]: Counter() for r in sizes}
     if sizes:
-        sample = rows.where(taken).select("l", F.substring("t", 1, sample_chars).alias("t"))
-        for b in _arrow(sample, sample_chars):
-            for name, own in b.items():
-                for keys, _ in grams(*_codes(own)):
+        own: dict[str, list[str]] = {}
+        for r in rows.where(taken).select("l", F.substring("t", 1, sample_chars).alias("t")).collect():
+            own.setdefault(r["l"], []).append(r["t"])
+        for name, texts in own.items():
+            for k in range(0, len(texts), 200):
+                for keys, _ in grams(*_codes(texts[k : k + 200])):
                     values, n = np.unique(keys, return_counts=True)
                     seen[name].update(dict(zip(values.tolist(), n.tolist(), strict=True)))
     total = {name: max(1, sum(c.values())) for name, c in seen.items()}
@@ -167,19 +169,6 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     return Filters.build({k: v for k, v in kept.items() if v})
 
 
-def _arrow(sample: DataFrame, sample_chars: int):
-    """The sample's texts by language, a few million characters at a time."""
-    own: dict[str, list[str]] = {}
-    n = 0
-    for row in sample.toLocalIterator():
-        own.setdefault(row["l"], []).append(row["t"])
-        n += len(row["t"])
-        if n > 2_000_000:
-            yield own
-            own, n = {}, 0
-    yield own
-
-
 def predict(docs: DataFrame, filters: Filters, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, lang_pred, score; only the text is an input."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
