@@ -218,7 +218,11 @@ _KEEP = "masterindex_id, pdf_path_in_zip, page_number"
 _add("ground_truth", lambda t: t.truth().where("ground_truth_label is not null").select("masterindex_id", "pdf_path_in_zip", "page_number", "ground_truth_label"), f"WITH {_GT} SELECT {_KEEP}, ground_truth_label FROM tr WHERE ground_truth_label IS NOT NULL")
 _add("excluded_rows", lambda t: t.truth().where("ground_truth_label is null").select("masterindex_id", "pdf_path_in_zip", "page_number", "exclusion_reason"), f"WITH {_GT} SELECT {_KEEP}, CASE st WHEN 'accepted' THEN 'invalid_predicted_label' WHEN 'corrected' THEN 'missing_or_invalid_reviewed_label' WHEN 'unreadable' THEN st WHEN 'out_of_scope' THEN st ELSE 'incomplete_review' END AS exclusion_reason FROM tr WHERE ground_truth_label IS NULL")
 _add("segments", lambda t: segments(t.raw("conversations").withColumn("ordinal", F.col("turn")), "conv_id", "turn", F.col("role") == "user", "role"), "WITH u AS (SELECT conv_id, turn, turn - row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS g FROM conversations WHERE role = 'user') SELECT conv_id, min(turn) AS start_page, max(turn) AS end_page FROM u GROUP BY conv_id, g")
-_add("nested_ground_truth", lambda t: review.nested_ground_truth(t.truth()).select("masterindex_id", "ground_truth_scope", "reviewed_page_count", F.to_json("pages").alias("pages"), F.to_json("positive_segments").alias("positive_segments")), None)
+_add("nested_ground_truth", lambda t: review.nested_ground_truth(t.truth()).select("masterindex_id", "ground_truth_scope", "reviewed_page_count", F.to_json("pages").alias("pages"), F.to_json("positive_segments").alias("positive_segments")), f"""WITH {_GT}, k AS (SELECT {_KEEP}, ground_truth_label AS label, ground_truth_label = 'target' AS p FROM tr WHERE ground_truth_label IS NOT NULL),
+m AS (SELECT *, CASE WHEN lag(p) OVER o AND page_number - lag(page_number) OVER o = 1 AND pdf_path_in_zip = lag(pdf_path_in_zip) OVER o THEN 0 ELSE 1 END AS b FROM k WINDOW o AS (PARTITION BY masterindex_id ORDER BY page_number)),
+i AS (SELECT *, sum(b) OVER (PARTITION BY masterindex_id ORDER BY page_number) AS g FROM m), r AS (SELECT masterindex_id, min(page_number) AS s, max(page_number) AS e FROM i WHERE p GROUP BY masterindex_id, g),
+z AS (SELECT masterindex_id, CAST(to_json(list(struct_pack(start_page := s, end_page := e) ORDER BY s, e)) AS VARCHAR) AS positive_segments FROM r GROUP BY 1)
+SELECT masterindex_id, 'human_reviewed_pages_only' AS ground_truth_scope, count(*) AS reviewed_page_count, CAST(to_json(list(struct_pack(page := page_number, pdf_path_in_zip := pdf_path_in_zip, label := label) ORDER BY page_number, pdf_path_in_zip)) AS VARCHAR) AS pages, coalesce(any_value(positive_segments), '[]') AS positive_segments FROM k LEFT JOIN z USING (masterindex_id) GROUP BY masterindex_id""")
 
 
 def _metric_sql() -> str:
@@ -262,7 +266,7 @@ _add(
 _add(
     "retention_plan",
     lambda t: review.retention_plan(t.raw("events").select("event_id", F.when(F.col("event_id") % 19 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).otherwise("never").alias("rendered_at_utc")), F.lit("2024-03-01 00:00:00").cast("timestamp"), exists=F.col("event_id") % 3 != 0).select("event_id", "age_days", "deletion_status"),
-    "WITH e AS (SELECT event_id, CASE WHEN event_id % 19 <> 0 THEN date_trunc('second', ts) END AS at FROM events), a AS (SELECT *, CAST(floor((epoch(TIMESTAMP '2024-03-01 00:00:00') - epoch(at)) / 86400) AS BIGINT) AS age_days FROM e) SELECT event_id, age_days, CASE WHEN at IS NULL THEN 'missing_timestamp' WHEN age_days < 30 THEN 'retention_not_reached' WHEN event_id % 3 = 0 THEN 'already_missing' ELSE 'to_delete' END AS deletion_status FROM a",
+    "WITH e AS (SELECT event_id, CASE WHEN event_id % 19 <> 0 THEN date_trunc('second', ts) END AS made FROM events), a AS (SELECT *, CAST(floor((epoch(TIMESTAMP '2024-03-01 00:00:00') - epoch(made)) / 86400) AS BIGINT) AS age_days FROM e) SELECT event_id, age_days, CASE WHEN made IS NULL THEN 'missing_timestamp' WHEN age_days < 30 THEN 'retention_not_reached' WHEN event_id % 3 = 0 THEN 'already_missing' ELSE 'to_delete' END AS deletion_status FROM a",
 )
 _add(
     "text_normal_forms",
