@@ -81,21 +81,21 @@ def render(documents: DataFrame, renderer: Callable[[bytes], Iterable[dict[str,
 
     A renderer yields one mapping for each page; if it raises, the document gives one row with `error` and no page number.
     """
+    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    names = StructType.fromDDL(schema).names
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(frames: Iterator) -> Iterator:
-        import pandas as pd
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-        for frame in frames:
-            rows = []
-            for r in frame.itertuples(index=False):
-                own = {"masterindex_id": r.masterindex_id, "pdf_path_in_zip": r.pdf_path_in_zip}
+        for batch in batches:
+            for r in batch.to_pylist():
+                own = {"masterindex_id": r["masterindex_id"], "pdf_path_in_zip": r["pdf_path_in_zip"]}
                 try:
-                    rows += [own | page for page in renderer(r.content)]
+                    rows = [own | page for page in renderer(r["content"])]
                 except Exception as e:  # noqa: BLE001 - one broken document must not end the others
-                    rows.append(own | {"error": f"{type(e).__name__}: {e}", "render_status": "pdf_open_failed"})
-            yield pd.DataFrame(rows, columns=names)
+                    rows = [own | {"error": f"{type(e).__name__}: {e}", "render_status": "pdf_open_failed"}]
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    return documents.select("masterindex_id", "pdf_path_in_zip", "content").mapInPandas(run, schema)
+    return documents.select("masterindex_id", "pdf_path_in_zip", "content").mapInArrow(run, schema)
