@@ -83,7 +83,7 @@ class Filters:
     def build(kept: dict[str, list[int]]) -> Filters:
         languages = sorted(kept)
         most = max([len(v) for v in kept.values()], default=0)
-        bits = max(10, (8 * most).bit_length())
+        bits = max(14, (12 * most).bit_length())
         words = max(1, -(-len(languages) // 64))
         slots = np.zeros((1 << bits, words), dtype=np.uint64)
         rates = np.zeros(len(languages))

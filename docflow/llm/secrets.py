@@ -48,7 +48,8 @@ RULES = (
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", 24),
     Rule("private_key", r"-----BEGIN\x20([A-Z]+\x20)*PRIVATE\x20KEY-----", 1),
 )
-_ANY = frozenset(range(256))
+#: All bytes of UTF-8 texts; 255 never occurs in them.
+_ANY = frozenset(range(255))
 
 
 class _Parser:

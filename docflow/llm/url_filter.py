@@ -27,7 +27,7 @@ RULES = (
 BUCKETS, SIZES, EPOCHS, RATE, DECAY, MAX_LABELLED = 1024, (4, 5), 10, 4.0, 0.0001, 500
 
 _BAD = ("spam-farm", "cheap-pills", "free-casino", "casino-bonus", "win-money", "pills-online", "spam-links", "cheap-watches", "adult-chat", "free-money", "hot-singles", "loan-now", "malware-host", "phishing-login", "link-farm", "cheap-loans", "casino", "adult-x")
-_GOOD = ("news", "library", "thther", "science", "city-council", "ththon", "university", "museum", "gardening", "tionble", "recipes", "weather", "history", "ththan", "archive", "cooking-blog", "theren", "open-data", "school", "tionsh")
+_GOOD = ("news", "library", "thther", "science", "city-council", "ththon", "university", "museum", "gardening", "tionble", "recipes", "weather", "history", "ththan", "archive", "cooking-blog", "theren", "open-data", "school", "tionsh", "science-news", "public-library", "art-history", "local-news", "bird-watching")
 _PATHS = ("/en/12", "/de/345.html", "/fr/7/", "/es/88")
 #: The labelled urls: (url, block), each host with and without a prefix.
 LABELLED = tuple((f"http://{p}{h}.example.{t}{_PATHS[(k + j) % 4]}", b) for b, hosts in ((1, _BAD), (0, _GOOD)) for k, h in enumerate(hosts) for j, (p, t) in enumerate((("www.", "net"), ("", "org")))) + (("", 0),)
@@ -60,8 +60,10 @@ def train(spark: SparkSession, labelled: DataFrame | None = None) -> list[float]
     """The weights of the buckets and the bias, learned from the columns url and block (0 or 1)."""
     if labelled is None:
         labelled = spark.createDataFrame(list(LABELLED), "url string, block int")
+    if labelled.limit(MAX_LABELLED + 1).count() > MAX_LABELLED:
+        raise ValueError(f"more than {MAX_LABELLED} labelled urls")
     host, path = host_and_path(F.col("url"))
-    rows = labelled.where("block is not null").limit(MAX_LABELLED + 1).select(buckets(host, path).alias("b"), F.col("block").cast("double").alias("y"))
+    rows = labelled.where("block is not null").select(buckets(host, path).alias("b"), F.col("block").cast("double").alias("y"))
     # Counts by bucket, scaled to length one, so that long urls weigh no more.
     counts = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS)), lambda k: F.size(F.filter("b", lambda x: x == k)).cast("double"))
     norm = F.sqrt(F.aggregate("c", F.lit(0.0), lambda a, x: a + x * x))
@@ -78,11 +80,8 @@ def train(spark: SparkSession, labelled: DataFrame | None = None) -> list[float]
         slip = F.array(RATE * (r["y"] - 1 / (1 + F.exp(-dot(w, r["x"])))))
         return F.element_at(F.transform(slip, lambda e: F.zip_with(w, r["x"], lambda a, b: a * (1 - DECAY) + e * b)), 1)
 
-    fitted = gathered.select(F.size("rows").alias("n"), F.aggregate(F.sequence(F.lit(1), F.lit(EPOCHS)), zero, lambda w, _: F.aggregate("rows", w, one)).alias("w"))
-    row = fitted.first()
-    if row["n"] > MAX_LABELLED:
-        raise ValueError(f"more than {MAX_LABELLED} labelled urls")
-    return list(row["w"])
+    fitted = gathered.select(F.aggregate(F.sequence(F.lit(1), F.lit(EPOCHS)), zero, lambda w, _: F.aggregate("rows", w, one)).alias("w"))
+    return list(fitted.first()["w"])
 
 
 def judge(pages: DataFrame, weights: list[float], rules=RULES, *, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
