@@ -24,13 +24,14 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-BUCKETS, SIZES, EPOCHS, RATE, DECAY, MAX_LABELLED = 1024, (4, 5), 10, 4.0, 0.0001, 500
+BUCKETS, SIZES, EPOCHS, RATE, DECAY, MAX_LABELLED = 1024, (3, 4), 10, 4.0, 0.0001, 500
 
 _BAD = ("spam-farm", "cheap-pills", "free-casino", "casino-bonus", "win-money", "pills-online", "spam-links", "cheap-watches", "adult-chat", "free-money", "hot-singles", "loan-now", "malware-host", "phishing-login", "link-farm", "cheap-loans", "casino", "adult-x")
 _GOOD = ("news", "library", "thther", "science", "city-council", "ththon", "university", "museum", "gardening", "tionble", "recipes", "weather", "history", "ththan", "archive", "cooking-blog", "theren", "open-data", "school", "tionsh", "science-news", "public-library", "art-history", "local-news", "bird-watching")
 _PATHS = ("/en/12", "/de/345.html", "/fr/7/", "/es/88")
-#: The labelled urls: (url, block), each host with and without a prefix.
-LABELLED = tuple((f"http://{p}{h}.example.{t}{_PATHS[(k + j) % 4]}", b) for b, hosts in ((1, _BAD), (0, _GOOD)) for k, h in enumerate(hosts) for j, (p, t) in enumerate((("www.", "net"), ("", "org")))) + (("", 0),)
+_PLACES = (("www.", "net"), ("", "org"), ("m.", "org"), ("blog.", "net"))
+#: The labelled urls: (url, block), each host with the same prefixes and paths.
+LABELLED = tuple((f"http://{p}{h}.example.{t}{_PATHS[(k + j) % 4]}", b) for b, hosts in ((1, _BAD), (0, _GOOD)) for k, h in enumerate(hosts) for j, (p, t) in enumerate(_PLACES)) + (("", 0),)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
