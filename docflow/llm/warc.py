@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from docflow.llm.common import chunks, col, shared_dir, table
 
 LEAST_REVISIT = 100
-ARCHIVE_BYTES = 4 << 20
+ARCHIVE_BYTES, FILE_BYTES = 4 << 20, 64 << 20
 DATE = "20200101000000"
 _FIELDS = {
     1: ("URL", "IP-address", "Archive-date", "Content-type", "Archive-length"),
@@ -266,6 +266,13 @@ def convert(archives: DataFrame, decided: DataFrame) -> DataFrame:
     return one.join(decided, "number", "left").select("arc", "refers_to").mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("record"))
 
 
+def records_per_file(pages: DataFrame, html_col: str = "html") -> int:
+    """So many that a file holds about `FILE_BYTES` on average and, whatever is in it, below 1 GB of payload, unless one record has more."""
+    size = F.octet_length(html_col)
+    row = pages.agg(F.avg(size).alias("mean"), F.max(size).alias("most")).first()
+    return max(1, min(5_000, FILE_BYTES // (int(row["mean"] or 0) + 1_000), (1 << 30) // (int(row["most"] or 0) + 1_000)))
+
+
 def write_warc(records: DataFrame, path: str, *, per_file: int = 5_000) -> None:
     """WARC files of at most `per_file` records in the folder `path`, by Spark's text writer."""
     records.select("record").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
@@ -299,7 +306,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as ARC archives, converted, written as WARC files to the shared folder and read back."""
-    archives = archive_pages(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
+    archives = archive_pages(pages)
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
-    write_warc(convert(archives, revisits(arc_digests(archives))), path)
+    write_warc(convert(archives, revisits(arc_digests(archives))), path, per_file=records_per_file(pages))
     return read_archives(spark, path)
