@@ -15,9 +15,9 @@ rows of a band are a bucket.
 Exact copies (equal word sequences) become one node, by an aggregation that combines before it shuffles. Buckets of up
 to `SMALL` nodes give all their pairs; larger ones pair each node with their least id. Pairs are verified by the exact weighted
 Jaccard similarity, at least `THRESHOLD`, and links become classes by label propagation with pointer jumping over
-written tables. Large buckets that still hold several classes are then compared in blocks of at most about `BLOCK` x
-`BLOCK` nodes; pairs of different classes that share two bands at least are verified as well. No group is gathered in one task, and no pair
-of linked nodes is listed in full.
+written tables. Where large buckets still hold several classes, the nodes outside the most frequent class are compared with all
+nodes there, in blocks of about `BLOCK` nodes, by the same similarity, and their links join classes. No group is gathered
+in one task, and the pairs of a group are never listed.
 
 Defined results: a text that is null or has no words is a class of its own; rows that share an id are one document; rows
 with a null id have a null class and are always kept; ties go to the least id; extra columns are ignored by `classes`
@@ -41,7 +41,7 @@ from docflow.llm.common import chunks, col, materialise, table, text_buffers
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 3
 SKETCH_BITS, LEVELS, SPAN, RARE, TF_LEVELS = 17, 4, 0.1, 0.02, 8
-SMALL, BLOCK = 8, 512
+SMALL, BLOCK, BLOCK_BYTES = 8, 512, 4 << 20
 _TABLE_BITS = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLE = np.uint64(0xD6E8FEB86659FD93)
@@ -260,7 +260,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, threshold: float) ->
             good = similarity(weights.value, col(b, "ta"), col(b, "tb")) >= threshold
             yield pa.RecordBatch.from_arrays([col(b, "a"), col(b, "b")], ["a", "b"]).filter(pa.array(good))
 
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    # Merge joins at every size: a hub's pairs can be split, and the shuffle stays in proportion to the input.
+    left, right = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "ta", "tb")
     return both.mapInArrow(run, pairs.select("a", "b").schema)
 
 
@@ -282,30 +284,86 @@ def components(edges: DataFrame, tag: str = "near-labels") -> DataFrame:
         labels = labels.select("id", "label")
 
 
-def _blocked(members: DataFrame) -> DataFrame:
-    """Of large buckets with several classes, the pairs of different classes that share at least two bands.
+def _shared(weights: Weights, left: tuple, right: tuple, n_left: int, n_right: int) -> np.ndarray:
+    """The matrix of shared weights of two sets of texts.
 
-    members: key, n, id, label, bands. A bucket's nodes are dealt to ceil(n / BLOCK) blocks and every two blocks meet in one task.
+    A weight of term-frequency level t is the sum of t + 1 steps, so the lesser of two weights is the sum of the steps that
+    both have; these are features of their own, and shared features come from matrix products over a few thousand at a time.
     """
+    sides = []
+    for of, shingle, tf in (left, right):
+        level = np.minimum(np.floor(np.log2(tf)).astype(np.int64), TF_LEVELS - 1)
+        at = np.repeat(np.arange(len(of)), level + 1)
+        step = np.arange(len(at)) - np.repeat(np.cumsum(level + 1) - level - 1, level + 1)
+        sides.append((of[at], shingle[at] << np.uint64(4) | step.astype(np.uint64), shingle[at], step))
+    both = np.intersect1d(sides[0][1], sides[1][1])
+    out = np.zeros((n_left, n_right), dtype=np.float64)
+    if not len(both):
+        return out
+    place = []
+    for of, key, shingle, step in sides:
+        k = np.minimum(np.searchsorted(both, key), len(both) - 1)
+        hit = both[k] == key
+        place.append((of[hit], k[hit], shingle[hit], step[hit]))
+    gain = np.zeros(len(both))
+    of, k, shingle, step = place[0]
+    grid = weights.weight.reshape(TF_LEVELS, LEVELS)
+    idf = weights.level[_counter(shingle)].astype(np.int64)
+    gain[k] = np.where(step == 0, grid[0, idf], grid[np.minimum(step, TF_LEVELS - 1), idf] - grid[np.maximum(step - 1, 0), idf])
+    width = 4096
+    for low in range(0, len(both), width):
+        a, b = np.zeros((n_left, width), np.float64), np.zeros((n_right, width), np.float64)
+        for m, (of, k, _, _) in zip((a, b), place, strict=True):
+            own = (k >= low) & (k < low + width)
+            m[of[own], k[own] - low] = 1
+        a[:, : min(width, len(both) - low)] *= gain[low : low + width]
+        out += a @ b.T
+    return out
+
+
+def _linked(large: DataFrame, open_: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """Links (a, b) between classes that share large buckets, found in blocks.
+
+    large: key, id, label; open_: key and the least label of buckets with several classes. Buckets of the same least label
+    form a cluster. Its nodes outside the most frequent class meet all its nodes, in blocks of about `BLOCK` nodes and `BLOCK_BYTES` of
+    text; a task gives at most one link for a node and another class, so its output does not grow with the pairs it compares.
+    """
+    rows = materialise(large.join(open_, "key").select("cluster", "id", "label").distinct(), "near-rest")
+    merged = rows.join(texts.hint("merge"), "id").select("cluster", "id", "label", "text")
+    rows = materialise(merged, "near-rest")
+    per = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES, F.lit(1.0))).cast("int")
+    sizes = per.groupBy("cluster").agg(F.max(F.struct("n", F.col("bytes"), "label")).alias("m"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    sizes = materialise(sizes.select("cluster", F.col("m.label").alias("main"), blocks(F.col("n"), F.col("bytes")).alias("ni"), blocks(F.col("n") - F.col("m.n"), F.col("bytes") - F.col("m.bytes")).alias("nj")), "near-sizes")
+    own = rows.join(sizes, "cluster")
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    node = ["id", "label", "text"]
+    left = own.select("cluster", part("ni").alias("i"), each("nj").alias("j"), F.lit(True).alias("all"), *node)
+    right = own.where("label != main").select("cluster", each("ni").alias("i"), part("nj").alias("j"), F.lit(False).alias("all"), *node)
 
     def run(t: pa.Table) -> pa.Table:
-        ids, labels = t["id"].to_numpy(), t["label"].to_numpy()
-        keys = np.array(t["bands"].to_pylist(), dtype=np.int64)
-        block, i, j = t["block"].to_numpy(), t["i"][0].as_py(), t["j"][0].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        mask = t["all"].to_numpy()
+        sides = [t.filter(pa.array(mask)), t.filter(pa.array(~mask))]
         a, b = [], []
-        for k in left.tolist():
-            same = (keys[right] == keys[k]).sum(axis=1) >= 2
-            to = right[same & (labels[right] != labels[k]) & ((ids[right] > ids[k]) | (i != j))]
-            a.append(np.minimum(ids[k], ids[to]))
-            b.append(np.maximum(ids[k], ids[to]))
-        return pa.table({"a": np.concatenate(a) if a else np.zeros(0, np.int64), "b": np.concatenate(b) if b else np.zeros(0, np.int64)}).cast(pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
-    count = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = members.withColumn("count", count).withColumn("block", F.pmod(F.xxhash64("id"), F.col("count")).cast("int"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "label", "bands")
-    return dealt.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+        if sides[0].num_rows and sides[1].num_rows:
+            w = weights.value
+            found = [shingles(s["text"].combine_chunks()) for s in sides]
+            total = [np.bincount(f[0], w.weight[w.classes(f[1], f[2])], minlength=s.num_rows) for f, s in zip(found, sides, strict=True)]
+            shared = _shared(w, found[0][:3], found[1][:3], sides[0].num_rows, sides[1].num_rows)
+            good = shared >= threshold * (total[0][:, None] + total[1][None, :] - shared) - 1e-9
+            ids, labels = [s["id"].to_numpy() for s in sides], [s["label"].to_numpy() for s in sides]
+            good &= labels[0][:, None] != labels[1][None, :]
+            seen = set()
+            for i, j in zip(*np.nonzero(good), strict=True):
+                key = (int(labels[0][i]), int(ids[1][j]))
+                if key not in seen:
+                    seen.add(key)
+                    a.append(min(int(ids[0][i]), int(ids[1][j])))
+                    b.append(max(int(ids[0][i]), int(ids[1][j])))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return left.unionByName(right).groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -323,15 +381,13 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     many = members.where((F.col("n") > SMALL) & (F.col("id") > F.col("leader"))).select(F.col("leader").alias("a"), F.col("id").alias("b"))
     pairs = materialise(few.unionByName(many).distinct(), "near-pairs")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = materialise(frame.join(wanted, "id", "left_semi"), "near-texts")
+    texts = materialise(frame.join(wanted.hint("merge"), "id", "left_semi"), "near-texts")
     edges = materialise(_verified(pairs, texts, weights, threshold), "near-edges")
     labels = components(edges)
-    large = members.where(F.col("n") > SMALL).join(labels, "id", "left").select("key", "n", "id", F.coalesce("label", "id").alias("label"))
-    open_ = materialise(large.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l < m").select("key"), "near-open")
+    large = members.where(F.col("n") > SMALL).join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    open_ = materialise(large.groupBy("key").agg(F.min("label").alias("cluster"), F.max("label").alias("m")).where("cluster < m").select("key", "cluster"), "near-open")
     if not open_.isEmpty():
-        rest = materialise(large.join(open_, "key", "left_semi"), "near-rest").join(nodes.select("id", "bands"), "id")
-        more = _blocked(rest).join(pairs, ["a", "b"], "left_anti")
-        more = materialise(_verified(materialise(more, "near-more"), texts, weights, threshold), "near-edges")
+        more = materialise(_linked(large, open_, texts, weights, threshold), "near-edges")
         if not more.isEmpty():
             labels = components(edges.unionByName(more))
     named = materialise(nodes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("class_id")), "near-classes")
@@ -347,10 +403,10 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     key = docs[id_col].cast("long")
     repeated = materialise(found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).count().where("count > 1").select("__id"), "near-repeated")
     if repeated.isEmpty():
-        return docs.join(dropped, key == dropped["__id"], "left_anti")
+        return docs.join(dropped.hint("merge"), key == dropped["__id"], "left_anti")
     once = docs.join(repeated, key == repeated["__id"], "left_semi").join(dropped, key == dropped["__id"], "left_anti").dropDuplicates([id_col])
     gone = dropped.unionByName(repeated)
-    return docs.join(gone, key == gone["__id"], "left_anti").unionByName(once)
+    return docs.join(gone.hint("merge"), key == gone["__id"], "left_anti").unionByName(once)
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
