@@ -17,7 +17,7 @@ TABLES = {
   CASE event_type WHEN 'signup' THEN 'import' WHEN 'click' THEN 'analyse' WHEN 'error' THEN 'supervise' WHEN 'view' THEN 'verify' ELSE 'export' END AS state,
   CASE event_id % 3 WHEN 0 THEN 'core' WHEN 1 THEN 'web' END AS component,
   CASE event_id % 7 WHEN 0 THEN 'System' WHEN 1 THEN ' system' WHEN 2 THEN 'SVC_load' WHEN 3 THEN 'Worker A' WHEN 4 THEN 'worker a ' WHEN 5 THEN 'qa_1' ELSE '' END AS altered_by,
-  CASE event_id % 5 WHEN 0 THEN 'LIFE' WHEN 1 THEN 'HEALTH' WHEN 2 THEN 'LIFE' END AS category,
+  CASE event_id % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'A' END AS category,
   CASE event_id % 4 WHEN 0 THEN 'S1' WHEN 1 THEN 'S2' END AS subsystem FROM {{events}}""",
     "document": f"""SELECT {_STACK}, 'P' || CAST(user_id % 3 AS STRING) AS process_id, 'D' || CAST(k AS STRING) AS doc_id,
   CASE WHEN k = 2 THEN NULL ELSE CAST(k % 2 AS INT) END AS subdoc_idx, event_id AS entry_id,
