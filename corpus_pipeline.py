@@ -16,8 +16,8 @@ from docflow.llm.common import materialise, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Trained on the labelled rows of these documents; a text goes if no language's n-grams decide."""
-    return language.keep(docs, language.fit(docs), least=0.5)
+    """Trained on the labelled rows of these documents; a text goes if it misses the bounds that held-out labelled rows set."""
+    return language.keep(docs, language.fit(docs, bounds=True))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

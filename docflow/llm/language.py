@@ -10,8 +10,13 @@ Prediction: for every n-gram position of the whole text the language mask is loo
 language are corrected for the false positives that the filter's fill predicts, (count - n p) / (1 - p), and the
 highest decides. The score is that language's part of the two highest corrected counts.
 
+Rejection (`keep`): the score cannot tell a known language from noise, which lies between two filters as well. A language is
+determined if its corrected count exceeds the second's and, with the bounds of `fit(bounds=True)`, if both the part of the text's
+n-grams that it holds and its lead over the second reach the bounds of the language and the text's length. The bounds are
+`SHARE_PART` and `LEAD_PART` of a low quantile of labelled texts and their beginnings, each judged by filters that have not seen it.
+
 Defined results: a text that is null or has no letter is `und` with score 0; so is every text where no language was
-learned; a tie goes to the language first in order; repeated rows are judged alike; extra columns are ignored by
+learned; a tie goes to the language first in order (and out of `keep`); repeated rows are judged alike; extra columns are ignored by
 `predict` and carried by `keep`; labels are used in `fit` only.
 """
 
@@ -30,6 +35,9 @@ from docflow.llm.common import chunks, col, table
 
 UNDETERMINED = "und"
 SIZES = (1, 2, 3, 4)
+#: Bounds hold for texts below, between and from these numbers of n-grams; beginnings of so many characters fill the shorter classes.
+EDGES, BEGINNINGS = (64, 512), (12, 60)
+QUANTILE, SHARE_PART, LEAD_PART = 0.02, 0.7, 0.1
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _letters: np.ndarray | None = None
 
@@ -78,6 +86,7 @@ class Filters:
     languages: list[str]
     table: np.ndarray  # slots x words of 64 languages
     false_rate: np.ndarray
+    bounds: np.ndarray | None = None  # languages x length classes x (share, lead)
 
     @staticmethod
     def build(kept: dict[str, list[int]]) -> Filters:
@@ -109,7 +118,8 @@ class Filters:
             out &= self.table[self._slot(keys, m, bits)]
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def evidence(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: (best language or -1, its corrected count, the second's, n-grams)."""
         code, of = _codes(texts)
         n_texts, n_lang = len(texts), len(self.languages)
         letters = np.bincount(of[code != 1], minlength=n_texts)
@@ -121,26 +131,80 @@ class Filters:
                 word = mask[:, l // 64]
                 on = (word >> word.dtype.type(l % 64)) & word.dtype.type(1)
                 count[:, l] += np.bincount(own[on == 1], minlength=n_texts)
-        right = np.maximum((count - total[:, None] * self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0) if n_lang else count
-        names, scores = [], []
-        for d in range(n_texts):
-            if not letters[d] or not n_lang:
-                names.append(UNDETERMINED)
-                scores.append(0.0)
-                continue
-            best = int(np.argmax(right[d]))
-            second = np.partition(right[d], -2)[-2] if n_lang > 1 else 0.0
-            both = right[d, best] + second
-            names.append(self.languages[best])
-            scores.append(float(right[d, best] / both) if both > 0 else 0.0)
-        return names, scores
+        if not n_lang:
+            return np.full(n_texts, -1), np.zeros(n_texts), np.zeros(n_texts), total
+        right = np.maximum((count - total[:, None] * self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0)
+        best = np.where(letters > 0, np.argmax(right, axis=1), -1)
+        second = np.partition(right, -2, axis=1)[:, -2] if n_lang > 1 else np.zeros(n_texts)
+        return best, right.max(axis=1), second, total
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        best, first, second, _ = self.evidence(texts)
+        scores = np.where((best >= 0) & (first > 0), first / np.maximum(first + second, 1e-300), 0.0)
+        return [UNDETERMINED if b < 0 else self.languages[b] for b in best.tolist()], scores.tolist()
+
+    def determined(self, texts: list[str | None], least: float = 0.0) -> np.ndarray:
+        """Per text: whether one language leads, with at least the score `least`, and reaches its bounds if there are any."""
+        best, first, second, total = self.evidence(texts)
+        out = (best >= 0) & (first > second) & (first >= least * (first + second))
+        if self.bounds is not None and self.languages:
+            share, lead = np.moveaxis(self.bounds[best, np.searchsorted(EDGES, total, side="right")], -1, 0)
+            out &= (first >= share * total) & (first - second >= lead * total)
+        return out
+
+
+def _kept(seen: dict[str, Counter], per_language: int, share: float) -> dict[str, list[int]]:
+    """The n-grams of each language's filter; languages without any are left out."""
+    total = {name: max(1, sum(c.values())) for name, c in seen.items()}
+    best: dict[int, float] = {}
+    for name, c in seen.items():
+        for g, n in c.items():
+            best[g] = max(best.get(g, 0.0), n / total[name])
+    kept = {name: [g for g, n in sorted(c.items(), key=lambda x: (-x[1], x[0])) if n / total[name] >= share * best[g]][:per_language] for name, c in seen.items()}
+    return {k: v for k, v in kept.items() if v}
+
 
+def _bounds(languages: list[str], judged: list[tuple[Filters, dict[str, list[str]]]]) -> np.ndarray:
+    """Bounds by language and length class, from labelled texts and filters that have not seen them.
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3200, sample_chars: int = 20_000, max_languages: int = 64, per_language: int = 30_000, share: float = 0.35, seed: int = 7) -> Filters:
+    Only texts whose label is found count. A class without any takes the next shorter, then the next longer class of its
+    language, and a language without any the lowest bounds of the others (none: 0).
+    """
+    found: dict[tuple[int, int], list[np.ndarray]] = {}
+    for filters, own in judged:
+        for name, texts in own.items():
+            if name not in filters.languages or name not in languages:
+                continue
+            for k in range(0, len(texts), 50):
+                some = texts[k : k + 50]
+                for part in (some, *([t[:n] for t in some if len(t) > n] for n in BEGINNINGS)):
+                    if not part:
+                        continue
+                    best, first, second, total = filters.evidence(part)
+                    right = best == filters.languages.index(name)
+                    at = np.searchsorted(EDGES, total, side="right")
+                    for c in range(len(EDGES) + 1):
+                        on = right & (at == c)
+                        found.setdefault((languages.index(name), c), []).append(np.column_stack((first[on], first[on] - second[on])) / total[on, None])
+    out = np.full((len(languages), len(EDGES) + 1, 2), np.nan)
+    for (l, c), parts in found.items():
+        values = np.concatenate(parts)
+        if len(values):
+            out[l, c] = np.quantile(values, QUANTILE, axis=0) * (SHARE_PART, LEAD_PART)
+    for to, near in ((1, 0), (2, 1), (1, 2), (0, 1)):
+        out[:, to] = np.where(np.isnan(out[:, to]), out[:, near], out[:, to])
+    lowest = np.where(np.isnan(out), np.inf, out).min(axis=0, initial=np.inf)
+    return np.where(np.isnan(out), np.where(np.isinf(lowest), 0.0, lowest), out)
+
+
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3200, sample_chars: int = 20_000, max_languages: int = 64, per_language: int = 30_000, share: float = 0.35, seed: int = 7, bounds: bool = False) -> Filters:
     """Filters learned from the rows with text and label whose crc32(id as text) mod 4 is not 2.
 
     Bounds: about `sample_rows` rows, dealt evenly to the `max_languages` most frequent languages and picked by a hash
     of the id, and of these rows the first `sample_chars` characters. Prediction has no such bounds.
+
+    With `bounds` the filters get the bounds for `keep`: the same rows, cut in two by a hash of the id, each half judged by the
+    filters of the other.
     """
     key = F.col(id_col).cast("string")
     rows = docs.select(key.alias("k"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull() & (F.coalesce(F.crc32(F.col("k").cast("binary")), F.lit(0)) % 4 != 2))
@@ -150,23 +214,26 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     taken = F.lit(False)
     for r in sizes:
         taken = taken | ((F.col("l") == r["l"]) & (part < int(1_000_000 * min(1.0, sample_rows / len(sizes) / r["count"])) + 1))
-    seen: dict[str, Counter] = {r["l"]: Counter() for r in sizes}
+    half = F.pmod(F.xxhash64(F.lit(seed + 1), "k"), F.lit(2)) if bounds else F.lit(0)
+    halves: list[dict[str, Counter]] = [{r["l"]: Counter() for r in sizes} for _ in range(2)]
+    own: list[dict[str, list[str]]] = [{}, {}]
     if sizes:
-        own: dict[str, list[str]] = {}
-        for r in rows.where(taken).select("l", F.substring("t", 1, sample_chars).alias("t")).collect():
-            own.setdefault(r["l"], []).append(r["t"])
-        for name, texts in own.items():
-            for k in range(0, len(texts), 200):
-                for keys, _ in grams(*_codes(texts[k : k + 200])):
-                    values, n = np.unique(keys, return_counts=True)
-                    seen[name].update(dict(zip(values.tolist(), n.tolist(), strict=True)))
-    total = {name: max(1, sum(c.values())) for name, c in seen.items()}
-    best: dict[int, float] = {}
-    for name, c in seen.items():
-        for g, n in c.items():
-            best[g] = max(best.get(g, 0.0), n / total[name])
-    kept = {name: [g for g, n in sorted(c.items(), key=lambda x: (-x[1], x[0])) if n / total[name] >= share * best[g]][:per_language] for name, c in seen.items()}
-    return Filters.build({k: v for k, v in kept.items() if v})
+        for r in rows.where(taken).select("l", half.alias("h"), F.substring("t", 1, sample_chars).alias("t")).collect():
+            own[r["h"]].setdefault(r["l"], []).append(r["t"])
+        for seen, texts_of in zip(halves, own, strict=True):
+            for name, texts in texts_of.items():
+                for k in range(0, len(texts), 200):
+                    for keys, _ in grams(*_codes(texts[k : k + 200])):
+                        values, n = np.unique(keys, return_counts=True)
+                        seen[name].update(dict(zip(values.tolist(), n.tolist(), strict=True)))
+    if bounds:
+        parts = [Filters.build(_kept(seen, per_language, share)) for seen in halves]
+        for name, c in halves[0].items():
+            c.update(halves[1].pop(name))
+    filters = Filters.build(_kept(halves[0], per_language, share))
+    if bounds:
+        filters.bounds = _bounds(filters.languages, [(parts[1], own[0]), (parts[0], own[1])])
+    return filters
 
 
 def predict(docs: DataFrame, filters: Filters, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,14 +250,13 @@ def predict(docs: DataFrame, filters: Filters, *, id_col: str = "doc_id", text_c
 
 
 def keep(docs: DataFrame, filters: Filters, *, text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows whose language is determined with at least the score `least`; all columns are carried."""
+    """The rows whose language is determined (see the module), with at least the score `least`; all columns are carried."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
     k = docs.columns.index(text_col)
 
     def run(batches):
         for b in chunks(batches, text_col, 1 << 20):
-            names, scores = shared.value.predict(b.column(k).to_pylist())
-            yield b.filter(pa.array([x != UNDETERMINED and s >= least for x, s in zip(names, scores, strict=True)]))
+            yield b.filter(pa.array(shared.value.determined(b.column(k).to_pylist(), least)))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -64,3 +64,31 @@ def test_defined_results(spark):
     none = g.fit(df.limit(0))
     assert none.languages == [] and {r.lang_pred for r in g.predict(odd, none).collect()} == {"und"}
     assert g.predict(odd.limit(0), filters).count() == 0
+
+
+def test_keep_rejects_noise_and_unlearned_languages(spark):
+    rng = random.Random(3)
+    df = spark.createDataFrame(rows(), "doc_id long, text string, lang string")
+    letters = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    noise = [letters(n) for n in (4, 12, 60, 400)] + [" ".join(rng.choice(["kala", "metsä", "yliopisto", "koivu", "järvi"]) for _ in range(n)) for n in (4, 60)]
+    noise += ["собака кошка дом", "日本", "123 !!", "", "x"]
+    good = [text(rng, lang, n) for lang in SYLLABLES for n in (4, 12, 60, 400) for _ in range(20)]
+    mixed = [text(rng, "aa", 200) + " " + text(rng, "bb", 200)]
+    odd = spark.createDataFrame([(k, t) for k, t in enumerate([*good, *noise, *mixed, None])], "doc_id long, text string")
+    assert sorted(r.doc_id for r in g.keep(odd, g.fit(df, bounds=True)).collect()) == list(range(len(good)))
+
+
+def test_bounds_leave_filters_alone(spark):
+    df = spark.createDataFrame(rows(), "doc_id long, text string, lang string")
+    a, b = g.fit(df), g.fit(df, bounds=True)
+    assert a.languages == b.languages and (a.table == b.table).all() and a.bounds is None and b.bounds.shape == (3, 3, 2) and (b.bounds > 0).all()
+    short = g.fit(df.selectExpr("doc_id", "substring(text, 1, 5) AS text", "lang"), bounds=True)
+    assert np.isfinite(short.bounds).all()
+    few = g.fit(df.where("doc_id < 2"), bounds=True)
+    assert np.isfinite(few.bounds).all() and g.fit(df.limit(0), bounds=True).bounds.shape == (0, 3, 2)
+
+
+def test_a_tie_is_not_determined():
+    keys = np.concatenate([k for k, _ in g.grams(*g._codes(["the whing"]))]).tolist()
+    filters = g.Filters.build({"aa": keys, "bb": keys})
+    assert filters.predict(["the whing"]) == (["aa"], [0.5]) and not filters.determined(["the whing"], 0.5)[0]
