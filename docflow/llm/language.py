@@ -197,23 +197,26 @@ def _bounds(languages: list[str], judged: list[tuple[Filters, dict[str, list[str
     return np.where(np.isnan(out), np.where(np.isinf(lowest), 0.0, lowest), out)
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3200, sample_chars: int = 20_000, max_languages: int = 64, per_language: int = 30_000, share: float = 0.35, seed: int = 7, bounds: bool = False) -> Filters:
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3200, sample_chars: int = 20_000, max_languages: int = 1024, least_rows: int = 16, per_language: int = 30_000, share: float = 0.35, seed: int = 7, bounds: bool = False) -> Filters:
     """Filters learned from the rows with text and label whose crc32(id as text) mod 4 is not 2.
 
-    Bounds: about `sample_rows` rows, dealt evenly to the `max_languages` most frequent languages and picked by a hash
-    of the id, and of these rows the first `sample_chars` characters. Prediction has no such bounds.
+    Every label is learned; more than `max_languages` of them raise an error, as the filters would outgrow a broadcast. Bounds:
+    about `sample_rows` rows, dealt evenly to the languages, but about `least_rows` for each at least, picked by a hash of
+    the id, and of these rows the first `sample_chars` characters. Prediction has no such bounds.
 
     With `bounds` the filters get the bounds for `keep`: the same rows, cut in two by a hash of the id, each half judged by the
     filters of the other.
     """
     key = F.col(id_col).cast("string")
     rows = docs.select(key.alias("k"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull() & (F.coalesce(F.crc32(F.col("k").cast("binary")), F.lit(0)) % 4 != 2))
-    sizes = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_languages).collect()
+    sizes = rows.groupBy("l").count().limit(max_languages + 1).collect()
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} languages are labelled")
     # A fixed share of each language's rows: no sort and no shuffle of texts.
     part = F.pmod(F.xxhash64(F.lit(seed), "k"), F.lit(1_000_000))
-    taken = F.lit(False)
-    for r in sizes:
-        taken = taken | ((F.col("l") == r["l"]) & (part < int(1_000_000 * min(1.0, sample_rows / len(sizes) / r["count"])) + 1))
+    each = max(sample_rows / max(1, len(sizes)), least_rows)
+    below = {r["l"]: int(1_000_000 * min(1.0, each / r["count"])) + 1 for r in sizes}
+    taken = part < F.element_at(F.map_from_arrays(F.lit(list(below)), F.lit(list(below.values()))), F.col("l")) if below else F.lit(False)
     half = F.pmod(F.xxhash64(F.lit(seed + 1), "k"), F.lit(2)) if bounds else F.lit(0)
     halves: list[dict[str, Counter]] = [{r["l"]: Counter() for r in sizes} for _ in range(2)]
     own: list[dict[str, list[str]]] = [{}, {}]

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from docflow.llm import language as g
 
@@ -92,3 +93,16 @@ def test_a_tie_is_not_determined():
     keys = np.concatenate([k for k, _ in g.grams(*g._codes(["the whing"]))]).tolist()
     filters = g.Filters.build({"aa": keys, "bb": keys})
     assert filters.predict(["the whing"]) == (["aa"], [0.5]) and not filters.determined(["the whing"], 0.5)[0]
+
+
+def test_every_label_is_learned(spark):
+    rng = random.Random(4)
+    own = {f"l{k:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(6)] for k in range(70)}
+    sets = [(k, name, " ".join(rng.choice(words) for _ in range(30))) for k, (name, words) in enumerate([x for x in own.items() for _ in range(12)])]
+    # The last labels are the rarest.
+    df = spark.createDataFrame([r for r in sets if r[1] < "l64" or r[0] % 12 < 9], "doc_id long, lang string, text string")
+    filters = g.fit(df)
+    assert filters.languages == sorted(own)
+    assert {r.lang for r in g.predict(df, filters).join(df, "doc_id").where("lang = lang_pred").select("lang").distinct().collect()} == set(own)
+    with pytest.raises(ValueError):
+        g.fit(df, max_languages=69)
