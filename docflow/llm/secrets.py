@@ -6,7 +6,8 @@ construction and partition refinement into a transition array and an array of ac
 scanned in one byte pass: the bytes are cut into lanes at bytes that reset every state (a separator stands between
 texts), and all lanes step through the transition array together. The result, the rules that accept at each byte,
 gives matches: a rule that is a run of one class matches its maximal accepting runs; for other rules the stretch
-between the reset bytes around an accepting byte is checked exactly, leftmost first, for that rule alone.
+between the reset bytes around an accepting byte is checked exactly, leftmost first, for that rule alone. The body of a private
+key may hold any byte, so its rule has only the first line in the automaton, and texts with one are checked as a whole.
 
 Offsets are code points, ends exclusive. Matches that fail a rule's length test are dropped after matching.
 
@@ -30,15 +31,27 @@ from docflow.llm.common import chunks, col, table, text_buffers
 
 @dataclass(frozen=True)
 class Rule:
-    """`group`: the part whose length, at least `least`, is tested; `base`: one of the base kinds."""
+    """`group`: the part whose length, at least `least`, is tested; `base`: one of the base kinds.
+
+    `mark`: where the pattern goes on without bound, what the automaton looks for instead; each match of the pattern holds one.
+    """
 
     kind: str
     pattern: str
     least: int = 1
     group: int = 0
     base: bool = False
+    mark: str = ""
 
 
+_KEY = r"-----BEGIN\x20([A-Z]+\x20)*PRIVATE\x20KEY-----"
+_BREAK, _BASE64 = r"(?:\r\n|\n|\r|\\r|\\n)", r"[A-Za-z0-9+/=]"
+#: After a key's first line: all up to its END line or, without one, header fields and base64 that fills lines or is long. Breaks may be escaped.
+_KEY_BODY = (
+    r"(?:(?:(?!-----(?:BEGIN|END)\x20)(?s:.))*+-----END\x20(?:[A-Z]+\x20)*PRIVATE\x20KEY-----"
+    rf"|{_BASE64}*+(?:(?:[\x20\t]*+{_BREAK})++[\x20\t]*+(?:Proc-Type|DEK-Info|Key-Info|Comment|Version):[^\r\n\\]*+)*+"
+    rf"(?:(?:[\x20\t]*+{_BREAK})++[\x20\t]*+{_BASE64}++(?=[\x20\t]*+(?:[\r\n\"']|\\[nr]|\Z))|(?:[\x20\t]|{_BREAK})++{_BASE64}{{24,}}+)*+)"
+)
 #: The base rules come first, as listed; the others add spans.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2, True),
@@ -46,7 +59,7 @@ RULES = (
     Rule("hex", r"[0-9a-f]+", 16, 0, True),
     Rule("forge", r"gh[opsur]_[A-Za-z0-9]+", 40),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", 24),
-    Rule("private_key", r"-----BEGIN\x20([A-Z]+\x20)*PRIVATE\x20KEY-----", 1),
+    Rule("private_key", _KEY + _KEY_BODY, mark=_KEY),
 )
 #: All bytes of UTF-8 texts; 255 never occurs in them.
 _ANY = frozenset(range(255))
@@ -209,7 +222,7 @@ class Automaton:
         if len(rules) > 32:
             raise ValueError("at most 32 rules in one automaton")
         self.rules = rules
-        trees = [_Parser(r.pattern).parse() for r in rules]
+        trees = [_Parser(r.mark or r.pattern).parse() for r in rules]
         eps, moves, start, accepts = _nfa(trees)
 
         def closure(states):
@@ -319,10 +332,12 @@ class Automaton:
                 spans = zip(s[long].tolist(), e[long].tolist(), strict=True)
             else:
                 at = np.flatnonzero(on)
-                left = np.searchsorted(reset, at)
+                if rule.mark:
+                    stretches = [(int(begin[d]), int(put[d])) for d in np.unique(np.searchsorted(begin, at, side="right") - 1).tolist()]
+                else:
+                    stretches = [(int(reset[k - 1]) + 1 if k else 0, int(reset[k])) for k in np.unique(np.searchsorted(reset, at)).tolist()]
                 spans = []
-                for k in np.unique(left).tolist():
-                    low, high = int(reset[k - 1]) + 1 if k else 0, int(reset[k])
+                for low, high in stretches:
                     for m in self.exact[r].finditer(joined[low:high].tobytes()):
                         if m.end(rule.group) - m.start(rule.group) >= rule.least:
                             spans.append((low + m.start(), low + m.end()))
