@@ -12,7 +12,7 @@ ends, which are the writer's line separator, so each file is a valid WARC file,
 in steps, follows the declared lengths, and verifies digests. Files are split by bytes, and each task streams its own.
 
 The decision who is a response shuffles only numbers, lengths and digests. Equal digests first combine on the map side; only digests
-that occur twice come back, and a payload meets its decision by record number, so a large group of copies loads no task.
+that occur twice come back, and a payload meets its decision by record number and digest, so a large group of copies loads no task.
 
 Defined results: a null html is an empty payload; a null url is written as `-`; rows with a null page_id are left out (they
 have no number to be returned by); rows that repeat a page_id are records of their own, of which equal payloads revisit the
@@ -236,10 +236,10 @@ def arc_digests(archives: DataFrame) -> DataFrame:
 
 
 def revisits(found: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """(number, refers_to) of the records whose payload a record of a smaller number has."""
+    """(number, digest, refers_to) of the records whose payload a record of a smaller number has."""
     own = found.where(F.col("length") >= least).select("number", "digest")
     groups = own.groupBy("digest").agg(F.min("number").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "refers_to")
-    return own.join(groups, "digest").where("number != refers_to").select("number", "refers_to").distinct()
+    return own.join(groups, "digest").where("number != refers_to").select("number", "digest", "refers_to").distinct()
 
 
 def convert(archives: DataFrame, decided: DataFrame) -> DataFrame:
@@ -248,12 +248,14 @@ def convert(archives: DataFrame, decided: DataFrame) -> DataFrame:
     def parts(batches):
         for b in batches:
             for data in col(b, "content").to_pylist():
-                number, packed = [], []
+                number, digest, packed = [], [], []
                 for r in read_arc(data):
-                    number.append(int(_NUMBER.search(split_http(r.block)[0])[1]))
+                    head, payload = split_http(r.block)
+                    number.append(int(_NUMBER.search(head)[1]))
+                    digest.append(hashlib.sha256(payload).digest())
                     one = write_arc("one", r.version, [(r.url, r.content_type, r.block)])
                     packed.append(zlib.compress(one, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(packed, pa.binary())], ["number", "arc"])
+                yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(digest, pa.binary()), pa.array(packed, pa.binary())], ["number", "digest", "arc"])
 
     def run(batches):
         for b in batches:
@@ -262,8 +264,8 @@ def convert(archives: DataFrame, decided: DataFrame) -> DataFrame:
                 out = [warc_record(next(read_arc(zlib.decompress(arc))), to) for arc, to in zip(col(part, "arc").to_pylist(), col(part, "refers_to").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    one = archives.select("content").mapInArrow(parts, "number long, arc binary")
-    return one.join(decided, "number", "left").select("arc", "refers_to").mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("record"))
+    one = archives.select("content").mapInArrow(parts, "number long, digest binary, arc binary")
+    return one.join(decided, ["number", "digest"], "left").select("arc", "refers_to").mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("record"))
 
 
 def records_per_file(pages: DataFrame, html_col: str = "html") -> int:

@@ -69,3 +69,12 @@ def test_query(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     assert w.op1_warc(spark, str(tmp_path)).count() == 0
+
+
+def test_repeated_page_ids_with_other_payloads(spark, tmp_path):
+    a, b, c = "a" * 200, "b" * 200, "c" * 200
+    rows = [(1, a), (2, b), (7, a), (7, b), (7, c), (7, c), (7, "short")]
+    spark.createDataFrame([(k, "u", h) for k, h in rows], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    out = sorted((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in w.op1_warc(spark, str(tmp_path)).collect())
+    refers = {(7, a): 1, (7, b): 2}
+    assert out == sorted((k, hashlib.sha256(h.encode()).hexdigest(), "revisit" if (k, h) in refers else "response", refers.get((k, h))) for k, h in rows)
