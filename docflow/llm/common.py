@@ -36,23 +36,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share.
 
-    Only where the session names none (tests on local[*]) a temporary folder takes its place.
+    Only a local session (tests) that names none gets a temporary folder; a cluster without one is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="docflow-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write `df` as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A fresh path in the shared folder; what is written there goes at the latest when the application ends."""
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    files, at = _file_system(spark, path)
+    files.deleteOnExit(at)
+    return path
+
+
+def materialise(df: DataFrame, tag: str, kept: list[str] | None = None) -> DataFrame:
+    """Write `df` as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    `kept` gets the path, for `discard` once all that reads the table is itself written.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
     df.write.parquet(path)
+    if kept is not None:
+        kept.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, kept: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in kept:
+        files, at = _file_system(spark, path)
+        files.delete(at, True)
+    kept.clear()
+
+
 def sha256_hex(data: str | bytes) -> str:
     return hashlib.sha256(data.encode("utf-8") if isinstance(data, str) else data).hexdigest()
 
