@@ -1,28 +1,28 @@
 """Language identification by language-bitmask n-gram filters.
 
-Training: from a bounded sample of labelled rows (`sample_rows`, `sample_chars`) the character n-grams of one to
-four letters (case folded, other characters as word borders) are counted per language. A language holds the n-grams
-whose relative frequency in it is at least `share` of the highest relative frequency in any language, the `grams`
-most frequent of them. Each goes into Bloom filters that are bit-sliced: slot j of the one table holds bit l if slot j
-of language l's filter is set, so one gather and AND per hash function returns all languages that contain an n-gram.
+Training: from a sample of labelled rows, bounded in rows alone (`sample_rows`, at least `least_rows` a language; texts are whole), the
+character n-grams of one to four letters (case folded, other characters as word borders) are counted per language, by Spark. A
+language holds the n-grams that make up at least `least_part` of its n-grams and whose relative frequency in it is at least `share` of the
+highest relative frequency in any language. Each goes into Bloom filters that are bit-sliced: slot j of the one table holds bit l if
+slot j of language l's filter is set, so one gather and AND per hash function returns all languages that contain an n-gram. A
+language has at most 1 / `least_part` n-grams, which bounds the table; more than `max_languages` labels raise an error.
 
 Prediction: for every n-gram position of the whole text the language mask is looked up; the population counts per
 language are corrected for the false positives that the filter's fill predicts, (count - n p) / (1 - p), and the
-highest decides. The score is that language's part of the two highest corrected counts.
+highest decides. The score is its part of the corrected counts of all languages.
 
-Rejection (`keep`): the score cannot tell a known language from noise, which lies between two filters as well. A language is
-determined if its corrected count exceeds the second's and, with the bounds of `fit(bounds=True)`, if both the part of the text's
-n-grams that it holds and its lead over the second reach the bounds of the language and the text's length. The bounds are
-`SHARE_PART` and `LEAD_PART` of a low quantile of labelled texts and their beginnings, each judged by filters that have not seen it.
+Rejection (`keep`): a language is determined if its corrected count exceeds the second's and, with the bounds of `fit(bounds=True)`, if
+the part of the text's n-grams that any language holds, corrected alike, reaches the bound of the text's length class. Noise and languages
+that were not learned miss it; a text in two learned languages has one that leads and stays. The bounds are `COVER_PART` of a low quantile
+over labelled texts and their beginnings, each judged by filters that have not seen it.
 
 Defined results: a text that is null or has no letter is `und` with score 0; so is every text where no language was
 learned; a tie goes to the language first in order (and out of `keep`); repeated rows are judged alike; extra columns are ignored by
-`predict` and carried by `keep`; labels are used in `fit` only.
+`predict` and carried by `keep`; labels are used in `fit` only; rows with a null id may be learned from (their remainder counts as 0).
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import chunks, col, table
+from docflow.llm.common import chunks, col, discard, materialise, table
 
 UNDETERMINED = "und"
 SIZES = (1, 2, 3, 4)
 #: Bounds hold for texts below, between and from these numbers of n-grams; beginnings of so many characters fill the shorter classes.
 EDGES, BEGINNINGS = (64, 512), (12, 60)
-QUANTILE, SHARE_PART, LEAD_PART = 0.02, 0.7, 0.1
+QUANTILE, COVER_PART = 0.02, 0.75
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _letters: np.ndarray | None = None
 
@@ -51,15 +51,15 @@ def _is_letter() -> np.ndarray:
 
 
 def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(letters as code points, every other run of characters as one border 1; text of each position)."""
-    joined = "\n".join([(t or "").lower() for t in texts]) + "\n"
-    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    sizes = np.fromiter((len((t or "").lower()) + 1 for t in texts), np.int64, len(texts))
+    """(letters as code points, every other run of characters as one border 1; text of each position). Each text begins with a border."""
+    lowered = [(t or "").lower() for t in texts]
+    code = np.frombuffer("".join([f"\n{t}\n" for t in lowered]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    sizes = np.fromiter((len(t) + 2 for t in lowered), np.int64, len(texts))
     of = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     letter = _is_letter()[code]
     keep = letter.copy()
     keep[1:] |= letter[:-1]
-    keep[:1] = True
+    keep[np.cumsum(sizes) - sizes] = True
     return np.where(letter, code, 1).astype(np.uint64)[keep], of[keep]
 
 
@@ -86,10 +86,10 @@ class Filters:
     languages: list[str]
     table: np.ndarray  # slots x words of 64 languages
     false_rate: np.ndarray
-    bounds: np.ndarray | None = None  # languages x length classes x (share, lead)
+    bounds: np.ndarray | None = None  # the least covered part by length class
 
     @staticmethod
-    def build(kept: dict[str, list[int]]) -> Filters:
+    def build(kept: dict[str, np.ndarray]) -> Filters:
         languages = sorted(kept)
         most = max([len(v) for v in kept.values()], default=0)
         bits = max(14, (12 * most).bit_length())
@@ -97,7 +97,7 @@ class Filters:
         slots = np.zeros((1 << bits, words), dtype=np.uint64)
         rates = np.zeros(len(languages))
         for l, name in enumerate(languages):
-            keys = np.array(kept[name], dtype=np.uint64)
+            keys = np.asarray(kept[name], dtype=np.uint64)
             for m in _MULTIPLIERS:
                 slots[Filters._slot(keys, m, bits), l // 64] |= np.uint64(1 << l % 64)
             rates[l] = ((slots[:, l // 64] >> np.uint64(l % 64)) & np.uint64(1)).mean() ** len(_MULTIPLIERS)
@@ -107,6 +107,10 @@ class Filters:
             slots = slots.astype(kind)
         return Filters(languages, slots, rates)
 
+    def _bounded(self, bounds: np.ndarray | None) -> Filters:
+        self.bounds = bounds
+        return self
+
     @staticmethod
     def _slot(keys: np.ndarray, multiplier: int, bits: int) -> np.ndarray:
         return (keys * np.uint64(multiplier) >> np.uint64(64 - bits)).astype(np.int64)
@@ -119,90 +123,104 @@ class Filters:
         return out
 
     def evidence(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Per text: (best language or -1, its corrected count, the second's, n-grams)."""
+        """Per text: best language or -1, corrected counts of all languages, n-grams that any language holds (corrected), n-grams."""
         code, of = _codes(texts)
         n_texts, n_lang = len(texts), len(self.languages)
         letters = np.bincount(of[code != 1], minlength=n_texts)
-        count, total = np.zeros((n_texts, n_lang)), np.zeros(n_texts)
+        count, total, held = np.zeros((n_texts, n_lang)), np.zeros(n_texts), np.zeros(n_texts)
         for key, own in grams(code, of):
             mask = self.masks(key)
             total += np.bincount(own, minlength=n_texts)
+            held += np.bincount(own[(mask != 0).any(axis=1)], minlength=n_texts)
             for l in range(n_lang):
                 word = mask[:, l // 64]
                 on = (word >> word.dtype.type(l % 64)) & word.dtype.type(1)
                 count[:, l] += np.bincount(own[on == 1], minlength=n_texts)
         if not n_lang:
-            return np.full(n_texts, -1), np.zeros(n_texts), np.zeros(n_texts), total
-        right = np.maximum((count - total[:, None] * self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0)
+            return np.full(n_texts, -1), count, np.zeros(n_texts), total
+        correct = lambda c, p: np.maximum((c - total.reshape(-1, *[1] * (c.ndim - 1)) * p) / np.maximum(1 - p, 1e-9), 0)
+        right = correct(count, self.false_rate)
         best = np.where(letters > 0, np.argmax(right, axis=1), -1)
-        second = np.partition(right, -2, axis=1)[:, -2] if n_lang > 1 else np.zeros(n_texts)
-        return best, right.max(axis=1), second, total
+        return best, right, correct(held, 1 - np.prod(1 - self.false_rate)), total
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        best, first, second, _ = self.evidence(texts)
-        scores = np.where((best >= 0) & (first > 0), first / np.maximum(first + second, 1e-300), 0.0)
+        best, right, _, _ = self.evidence(texts)
+        first, whole = right.max(axis=1, initial=0), right.sum(axis=1)
+        scores = np.where((best >= 0) & (first > 0), first / np.maximum(whole, 1e-300), 0.0)
         return [UNDETERMINED if b < 0 else self.languages[b] for b in best.tolist()], scores.tolist()
 
     def determined(self, texts: list[str | None], least: float = 0.0) -> np.ndarray:
-        """Per text: whether one language leads, with at least the score `least`, and reaches its bounds if there are any."""
-        best, first, second, total = self.evidence(texts)
-        out = (best >= 0) & (first > second) & (first >= least * (first + second))
-        if self.bounds is not None and self.languages:
-            share, lead = np.moveaxis(self.bounds[best, np.searchsorted(EDGES, total, side="right")], -1, 0)
-            out &= (first >= share * total) & (first - second >= lead * total)
+        """Per text: whether one language leads, with at least the score `least`, and the text is covered if there are bounds."""
+        best, right, held, total = self.evidence(texts)
+        if not self.languages:
+            return np.zeros(len(texts), dtype=bool)
+        ordered = np.sort(right, axis=1)
+        first, second = ordered[:, -1], ordered[:, -2] if right.shape[1] > 1 else np.zeros(len(texts))
+        out = (best >= 0) & (first > second) & (first >= least * right.sum(axis=1))
+        if self.bounds is not None:
+            out &= held >= self.bounds[np.searchsorted(EDGES, total, side="right")] * total
         return out
 
 
-def _kept(seen: dict[str, Counter], per_language: int, share: float) -> dict[str, list[int]]:
-    """The n-grams of each language's filter; languages without any are left out."""
-    total = {name: max(1, sum(c.values())) for name, c in seen.items()}
-    best: dict[int, float] = {}
-    for name, c in seen.items():
-        for g, n in c.items():
-            best[g] = max(best.get(g, 0.0), n / total[name])
-    kept = {name: [g for g, n in sorted(c.items(), key=lambda x: (-x[1], x[0])) if n / total[name] >= share * best[g]][:per_language] for name, c in seen.items()}
-    return {k: v for k, v in kept.items() if v}
+def _counted(rows: DataFrame) -> DataFrame:
+    """(l, h, g, n): how often each n-gram occurs in the texts t of language l and half h."""
+
+    def run(batches):
+        for b in chunks(batches, "t", 1 << 20):
+            groups: dict[tuple[str, int], list[str]] = {}
+            for l, h, t in zip(col(b, "l").to_pylist(), col(b, "h").to_pylist(), col(b, "t").to_pylist(), strict=True):
+                groups.setdefault((l, h), []).append(t)
+            for (l, h), texts in groups.items():
+                for keys, _ in grams(*_codes(texts)):
+                    values, n = np.unique(keys, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([l] * len(n), pa.string()), pa.array([h] * len(n), pa.int32()), pa.array(values.view(np.int64)), pa.array(n, pa.int64())], ["l", "h", "g", "n"])
+
+    return rows.select("l", "h", "t").mapInArrow(run, "l string, h int, g long, n long").groupBy("l", "h", "g").agg(F.sum("n").alias("n"))
+
 
+def _kept(counted: DataFrame, least_part: float, share: float) -> dict[str, np.ndarray]:
+    """The n-grams of each language's filter, of the columns l, g, n; languages without any are left out."""
+    counted = counted.groupBy("l", "g").agg(F.sum("n").alias("n"))
+    totals = counted.groupBy("l").agg(F.sum("n").alias("whole"))
+    parts = counted.join(totals, "l").select("l", "g", (F.col("n") / F.col("whole")).alias("part"))
+    most = parts.groupBy("g").agg(F.max("part").alias("most"))
+    found = parts.where(F.col("part") >= least_part).join(most, "g").where(F.col("part") >= share * F.col("most")).select("l", "g").toPandas()
+    return {str(name): own.g.to_numpy().view(np.uint64) for name, own in found.groupby("l")}
 
-def _bounds(languages: list[str], judged: list[tuple[Filters, dict[str, list[str]]]]) -> np.ndarray:
-    """Bounds by language and length class, from labelled texts and filters that have not seen them.
 
-    Only texts whose label is found count. A class without any takes the next shorter, then the next longer class of its
-    language, and a language without any the lowest bounds of the others (none: 0).
+def _bounds(rows: DataFrame, judges: tuple[Filters, Filters]) -> np.ndarray:
+    """The least covered part by length class, from the sampled texts and their beginnings, each judged by the other half's filters.
+
+    Only texts whose label is found count; the driver gets one number for each. A class without any takes its neighbour's bound.
     """
-    found: dict[tuple[int, int], list[np.ndarray]] = {}
-    for filters, own in judged:
-        for name, texts in own.items():
-            if name not in filters.languages or name not in languages:
-                continue
-            for k in range(0, len(texts), 50):
-                some = texts[k : k + 50]
-                for part in (some, *([t[:n] for t in some if len(t) > n] for n in BEGINNINGS)):
-                    if not part:
+    shared = rows.sparkSession.sparkContext.broadcast(judges)
+
+    def run(batches):
+        for b in chunks(batches, "t", 1 << 20):
+            texts, labels, halves = (col(b, c).to_pylist() for c in "tlh")
+            for n in (None, *BEGINNINGS):
+                for h in (0, 1):
+                    own = [k for k, t in enumerate(texts) if halves[k] == h and (n is None or len(t) > n)]
+                    if not own:
                         continue
-                    best, first, second, total = filters.evidence(part)
-                    right = best == filters.languages.index(name)
-                    at = np.searchsorted(EDGES, total, side="right")
-                    for c in range(len(EDGES) + 1):
-                        on = right & (at == c)
-                        found.setdefault((languages.index(name), c), []).append(np.column_stack((first[on], first[on] - second[on])) / total[on, None])
-    out = np.full((len(languages), len(EDGES) + 1, 2), np.nan)
-    for (l, c), parts in found.items():
-        values = np.concatenate(parts)
-        if len(values):
-            out[l, c] = np.quantile(values, QUANTILE, axis=0) * (SHARE_PART, LEAD_PART)
+                    filters = shared.value[1 - h]
+                    best, _, held, total = filters.evidence([texts[k][:n] for k in own])
+                    right = np.array([i >= 0 and filters.languages[i] == labels[k] for i, k in zip(best.tolist(), own, strict=True)])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(EDGES, total[right], side="right").astype(np.int32)), pa.array(held[right] / total[right])], ["c", "v"])
+
+    found = rows.select("t", "l", "h").mapInArrow(run, "c int, v double").toPandas()
+    out = np.array([np.quantile(found.v[found.c == c], QUANTILE) * COVER_PART if (found.c == c).any() else np.nan for c in range(len(EDGES) + 1)])
     for to, near in ((1, 0), (2, 1), (1, 2), (0, 1)):
-        out[:, to] = np.where(np.isnan(out[:, to]), out[:, near], out[:, to])
-    lowest = np.where(np.isnan(out), np.inf, out).min(axis=0, initial=np.inf)
-    return np.where(np.isnan(out), np.where(np.isinf(lowest), 0.0, lowest), out)
+        out[to] = out[near] if np.isnan(out[to]) else out[to]
+    return np.nan_to_num(out)
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3200, sample_chars: int = 20_000, max_languages: int = 1024, least_rows: int = 16, per_language: int = 30_000, share: float = 0.35, seed: int = 7, bounds: bool = False) -> Filters:
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3200, max_languages: int = 1024, least_rows: int = 16, least_part: float = 2e-5, share: float = 0.35, seed: int = 7, bounds: bool = False) -> Filters:
     """Filters learned from the rows with text and label whose crc32(id as text) mod 4 is not 2.
 
-    Every label is learned; more than `max_languages` of them raise an error, as the filters would outgrow a broadcast. Bounds:
-    about `sample_rows` rows, dealt evenly to the languages, but about `least_rows` for each at least, picked by a hash of
-    the id, and of these rows the first `sample_chars` characters. Prediction has no such bounds.
+    Every label is learned; more than `max_languages` of them raise an error, as the filters would outgrow a broadcast. About
+    `sample_rows` rows are read, dealt evenly to the languages, but about `least_rows` for each at least, picked by a hash of the id. Their
+    texts are whole and stay on the executors.
 
     With `bounds` the filters get the bounds for `keep`: the same rows, cut in two by a hash of the id, each half judged by the
     filters of the other.
@@ -212,30 +230,21 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     sizes = rows.groupBy("l").count().limit(max_languages + 1).collect()
     if len(sizes) > max_languages:
         raise ValueError(f"more than {max_languages} languages are labelled")
+    if not sizes:
+        return Filters.build({})._bounded(np.zeros(len(EDGES) + 1) if bounds else None)
     # A fixed share of each language's rows: no sort and no shuffle of texts.
     part = F.pmod(F.xxhash64(F.lit(seed), "k"), F.lit(1_000_000))
-    each = max(sample_rows / max(1, len(sizes)), least_rows)
+    each = max(sample_rows / len(sizes), least_rows)
     below = {r["l"]: int(1_000_000 * min(1.0, each / r["count"])) + 1 for r in sizes}
-    taken = part < F.element_at(F.map_from_arrays(F.lit(list(below)), F.lit(list(below.values()))), F.col("l")) if below else F.lit(False)
-    half = F.pmod(F.xxhash64(F.lit(seed + 1), "k"), F.lit(2)) if bounds else F.lit(0)
-    halves: list[dict[str, Counter]] = [{r["l"]: Counter() for r in sizes} for _ in range(2)]
-    own: list[dict[str, list[str]]] = [{}, {}]
-    if sizes:
-        for r in rows.where(taken).select("l", half.alias("h"), F.substring("t", 1, sample_chars).alias("t")).collect():
-            own[r["h"]].setdefault(r["l"], []).append(r["t"])
-        for seen, texts_of in zip(halves, own, strict=True):
-            for name, texts in texts_of.items():
-                for k in range(0, len(texts), 200):
-                    for keys, _ in grams(*_codes(texts[k : k + 200])):
-                        values, n = np.unique(keys, return_counts=True)
-                        seen[name].update(dict(zip(values.tolist(), n.tolist(), strict=True)))
-    if bounds:
-        parts = [Filters.build(_kept(seen, per_language, share)) for seen in halves]
-        for name, c in halves[0].items():
-            c.update(halves[1].pop(name))
-    filters = Filters.build(_kept(halves[0], per_language, share))
+    taken = part < F.element_at(F.map_from_arrays(F.lit(list(below)), F.lit(list(below.values()))), F.col("l"))
+    half = F.pmod(F.xxhash64(F.lit(seed + 1), "k"), F.lit(2)).cast("int") if bounds else F.lit(0)
+    kept: list[str] = []
+    sample = materialise(rows.where(taken).select("l", half.alias("h"), "t"), "language-sample", kept)
+    counted = materialise(_counted(sample), "language-grams", kept)
+    filters = Filters.build(_kept(counted, least_part, share))
     if bounds:
-        filters.bounds = _bounds(filters.languages, [(parts[1], own[0]), (parts[0], own[1])])
+        filters._bounded(_bounds(sample, tuple(Filters.build(_kept(counted.where(F.col("h") == h), least_part, share)) for h in (0, 1))))
+    discard(docs.sparkSession, kept)
     return filters
 
 
