@@ -49,11 +49,11 @@ def cases():
     return docs, items
 
 
-@pytest.mark.parametrize("block", [32 << 20, 300])
-def test_scan_equals_brute_force(spark, block):
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_scan_equals_brute_force(spark, limit):
     docs, items = cases()
     frame = spark.createDataFrame([(*r, "x", 1) for r in docs], DOCS)
-    found = d.scan(frame, spark.createDataFrame([(*r, 0) for r in items], ITEMS), max_block_bytes=block)
+    found = d.scan(frame, spark.createDataFrame([(*r, 0) for r in items], ITEMS), max_broadcast_bytes=limit)
     key = lambda r: (r[0] is None, r)
     got = [(r.doc_id, r.n_words, r.n_hit, r.n_items, hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r.contaminated) for r in found.collect()]
     assert sorted(got, key=key) == sorted(brute(docs, items), key=key)
@@ -72,6 +72,41 @@ def test_decontaminate_keeps_columns_and_clean_rows(spark):
     assert all(cut[r[0]] == r[1] for r, b in zip(docs, bad, strict=True) if not b and r[0] is not None)
     with pytest.raises(ValueError):
         d.decontaminate(frame, bench, mode="rows")
+    joined = d.decontaminate(frame, bench, max_broadcast_bytes=0)
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_cut_texts_get_their_length(spark, limit):
+    words = " ".join(f"w{k}" for k in range(13))
+    rows = [(1, f"é {words} x", 99), (2, "clean", 77), (3, None, None)]
+    out = d.decontaminate(spark.createDataFrame(rows, "doc_id long, text string, n_chars int"), spark.createDataFrame([(1, words)], "item_id long, text string"), mode="spans", max_broadcast_bytes=limit)
+    assert sorted(map(tuple, out.collect())) == [(1, "é  x", 4), (2, "clean", 77), (3, None, None)]
+
+
+def test_built_size_is_bounded(spark):
+    import tracemalloc
+
+    rng = random.Random(5)
+    items = [(str(k), " ".join(f"w{rng.randrange(4_000)}" for _ in range(rng.randint(5, 200)))) for k in range(300)]
+    bound = d.built_bytes(spark.createDataFrame(items, "i string, t string"), d.WINDOW)
+    tracemalloc.start()
+    built = d.Windows(items)
+    size = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert built.tables and 0.4 * bound < size <= bound
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_query(spark, tmp_path, empty):
+    """The registered query, against brute force, with null, empty and repeated rows and clashing names."""
+    docs, items = cases()
+    frame, bench = spark.createDataFrame([(*r, "x", 1) for r in docs], DOCS), spark.createDataFrame([(*r, 0) for r in items], ITEMS)
+    (frame.limit(0) if empty else frame).write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = d.op2_decontaminate(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert sorted(map(tuple, out.collect()), key=repr) == ([] if empty else sorted(brute(docs, items), key=repr))
 
 
 def test_spans_are_cut():
