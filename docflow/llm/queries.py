@@ -17,12 +17,12 @@ QUERIES = {f.__name__: f for f in (op1_warc, op2_decontaminate, op3_sentencepiec
 
 ORACLES = {
     "op1_warc": """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages WHERE page_id IS NOT NULL),
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest FROM p),
-f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+f AS (SELECT *, min(page_id) OVER w AS first_id, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS k FROM d WINDOW w AS (PARTITION BY payload_digest))
 SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+  CASE WHEN payload_bytes >= 100 AND (page_id <> first_id OR (page_id IS NULL AND k > 1)) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND (page_id <> first_id OR (page_id IS NULL AND k > 1)) THEN first_id END AS refers_to
 FROM f""",
     "op2_decontaminate": r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
