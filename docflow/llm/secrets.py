@@ -3,11 +3,17 @@
 Each rule's regular expression (literals, classes, groups, alternation, ``? * + {m,n}``, case folding of ASCII
 letters) becomes a Thompson NFA over bytes; the union of all rules, free to start anywhere, goes through subset
 construction and partition refinement into a transition array and an array of accepted-rule bits. A chunk of texts is
-scanned in one byte pass: the bytes are cut into lanes at bytes that reset every state (a separator stands between
-texts), and all lanes step through the transition array together. The result, the rules that accept at each byte,
-gives matches: a rule that is a run of one class matches its maximal accepting runs; for other rules the stretch
-between the reset bytes around an accepting byte is checked exactly, leftmost first, for that rule alone. The body of a private
-key may hold any byte, so its rule has only the first line in the automaton, and texts with one are checked as a whole.
+scanned in one byte pass: the bytes (a separator stands between texts) are cut into lanes of equal length that step through the
+transition array together, all from the start state. A lane whose predecessor ends in another state is then stepped again from that one until
+it meets the states it had, which is after a few bytes as a rule; so lanes need no byte that resets the automaton.
+
+The result, the rules that accept at each byte, gives matches: a rule that is a run of one class matches its maximal accepting runs. For
+other rules the stretch between the bytes that reset all states around an accepting byte goes through two automata of the
+rule alone: the reversed one marks all starts, from right to left, and the anchored one gives the longest end of the leftmost start; the
+search goes on behind it. That is leftmost-longest, which for `RULES` is what a backtracking engine finds.
+
+The body of a private key is described by what it must not hold, which the constructions do not cover, so its rule has only the first line in
+the automaton; in texts with one, the body is taken by an expression.
 
 Offsets are code points, ends exclusive. Matches that fail a rule's length test are dropped after matching.
 
@@ -18,6 +24,7 @@ columns are ignored by `scan` and carried by `redact`.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -215,6 +222,88 @@ def _nfa(trees):
     return eps, moves, start, accepts
 
 
+def _reversed(tree):
+    """The tree of the reversed expression."""
+    kind = tree[0]
+    if kind == "set":
+        return tree
+    if kind == "cat":
+        return ("cat", [_reversed(p) for p in reversed(tree[1])])
+    if kind == "alt":
+        return ("alt", [_reversed(p) for p in tree[1]])
+    return ("rep", _reversed(tree[1]), *tree[2:])
+
+
+def _subsets(trees, free: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Subset construction: (transitions by byte class, accepted-rule bits, class of each byte, dead state or -1).
+
+    `free`: a match may start at every byte; otherwise at the first one only, and what cannot match any more is the dead state.
+    """
+    eps, moves, start, accepts = _nfa(trees)
+
+    def closure(states):
+        seen, todo = set(states), list(states)
+        while todo:
+            for t in eps[todo.pop()]:
+                if t not in seen:
+                    seen.add(t)
+                    todo.append(t)
+        return frozenset(seen)
+
+    root = closure([start])
+    # Bytes that no rule tells apart form a class and are expanded once.
+    marks = sorted({m[0] for m in moves if m}, key=sorted)
+    classes: dict[tuple[bool, ...], list[int]] = {}
+    for b in range(256):
+        classes.setdefault(tuple(b in m for m in marks), []).append(b)
+    sets, table_, todo = {root: 0}, [], [root]
+    while todo:
+        own = todo.pop(0)
+        row = []
+        for members in classes.values():
+            to = closure({moves[s][1] for s in own if moves[s] and members[0] in moves[s][0]}) | (root if free else frozenset())
+            if to not in sets:
+                sets[to] = len(sets)
+                todo.append(to)
+            row.append(sets[to])
+        table_.append(row)
+    bits = [sum(1 << accepts[s] for s in own if s in accepts) for own in sets]
+    class_of = np.zeros(256, dtype=np.uint8)
+    for k, members in enumerate(classes.values()):
+        class_of[members] = k
+    return np.array(table_), np.array(bits, dtype=np.uint32), class_of, sets.get(frozenset(), -1)
+
+
+class Spans:
+    """Leftmost-longest matches of one rule in a short stretch, by its reversed and its anchored automaton."""
+
+    def __init__(self, tree):
+        step, accept, class_of, _ = _subsets([_reversed(tree)], True)
+        self.back, self.starts = [[int(row[c]) for c in class_of] for row in step], accept.astype(bool).tolist()
+        step, accept, class_of, self.dead = _subsets([tree], False)
+        self.ahead, self.ends = [[int(row[c]) for c in class_of] for row in step], accept.astype(bool).tolist()
+
+    def find(self, data: bytes) -> Iterator[tuple[int, int]]:
+        state, marked = 0, []
+        for k in range(len(data) - 1, -1, -1):
+            state = self.back[state][data[k]]
+            if self.starts[state]:
+                marked.append(k)
+        last = 0
+        for start in reversed(marked):
+            if start < last:
+                continue
+            state, end = 0, start
+            for k in range(start, len(data)):
+                state = self.ahead[state][data[k]]
+                if state == self.dead:
+                    break
+                if self.ends[state]:
+                    end = k + 1
+            yield start, end
+            last = end
+
+
 class Automaton:
     """Transition array over byte classes and accepted-rule bits of each state; state 0 is the start, to which resets return."""
 
@@ -223,49 +312,22 @@ class Automaton:
             raise ValueError("at most 32 rules in one automaton")
         self.rules = rules
         trees = [_Parser(r.mark or r.pattern).parse() for r in rules]
-        eps, moves, start, accepts = _nfa(trees)
-
-        def closure(states):
-            seen, todo = set(states), list(states)
-            while todo:
-                for t in eps[todo.pop()]:
-                    if t not in seen:
-                        seen.add(t)
-                        todo.append(t)
-            return frozenset(seen)
-
-        root = closure([start])
-        # Bytes that no rule tells apart form a class and are expanded once.
-        marks = sorted({m[0] for m in moves if m}, key=sorted)
-        classes: dict[tuple[bool, ...], list[int]] = {}
-        for b in range(256):
-            classes.setdefault(tuple(b in m for m in marks), []).append(b)
-        sets, table_, todo = {root: 0}, [], [root]
-        while todo:
-            own = todo.pop(0)
-            row = []
-            for members in classes.values():
-                to = closure({moves[s][1] for s in own if moves[s] and members[0] in moves[s][0]}) | root
-                if to not in sets:
-                    sets[to] = len(sets)
-                    todo.append(to)
-                row.append(sets[to])
-            table_.append(row)
-        bits = [sum(1 << accepts[s] for s in own if s in accepts) for own in sets]
-        self.n_subsets = len(sets)
-        step, accept = self._minimised(np.array(table_), np.array(bits, dtype=np.uint32))
+        step, bits, self.class_of, _ = _subsets(trees, True)
+        if bits[0]:
+            raise ValueError("a rule must not match the empty text")
+        self.n_subsets, self.n_classes = step.shape
+        step, accept = self._minimised(step, bits)
         self.n_states = len(accept)
-        self.class_of = np.zeros(256, dtype=np.uint8)
-        for k, members in enumerate(classes.values()):
-            self.class_of[members] = k
-        self.n_classes = len(classes)
         # Entries are row starts, so a step is one addition and one gather.
         self.step, self.accept = (step * self.n_classes).astype(np.int32).ravel(), accept
         self.resets = (step == 0).all(axis=0)[self.class_of]
         if not self.resets[255]:
             raise ValueError("byte 255 must end every match; it separates texts")
-        self.exact = [re.compile(r.pattern.encode("utf-8")) for r in rules]
         self.is_run = [t[0] == "cat" and len(t[1]) == 1 and t[1][0][0] == "rep" and t[1][0][1][0] == "set" and t[1][0][2:] == (1, None) for t in trees]
+        self.spans = [None if run or r.mark else Spans(t) for r, t, run in zip(rules, trees, self.is_run, strict=True)]
+        self.bodies = [re.compile(r.pattern.encode("utf-8")) if r.mark else None for r in rules]
+        # A tested part of a match, where it is not the whole.
+        self.parts = [re.compile(r.pattern.encode("utf-8")) if r.group else None for r in rules]
 
     @staticmethod
     def _minimised(step: np.ndarray, accept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,27 +348,44 @@ class Automaton:
 
     def run(self, data: np.ndarray, lane: int = 384) -> np.ndarray:
         """The accepted-rule bits after each byte."""
-        out = np.zeros(len(data), dtype=np.int32)
-        if not len(data):
-            return out.astype(np.uint32)
-        reset = np.flatnonzero(self.resets[data])
-        cut = np.searchsorted(reset, np.arange(lane, len(data), lane))
-        starts = np.unique(np.concatenate(([0], reset[cut[cut < len(reset)]] + 1)))
-        starts = starts[starts < len(data)]
-        sizes = np.diff(np.append(starts, len(data)))
-        by = np.argsort(-sizes, kind="stable")
-        starts, sizes = starts[by], sizes[by]
-        # How many lanes are still running at each step.
-        running = len(sizes) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), side="right")
-        state = np.zeros(len(starts), dtype=np.int32)
-        at, kind = starts.copy(), self.class_of[data]
-        for n in running.tolist():
-            if n < len(state):
-                state, at = state[:n], at[:n]
-            state = self.step[state + kind[at]]
-            out[at] = state
-            at += 1
-        return self.accept[out // self.n_classes]
+        size = len(data)
+        if not size:
+            return np.zeros(0, dtype=np.uint32)
+        lanes = -(-size // lane)
+        kind = np.zeros(lanes * lane, dtype=np.uint8)
+        kind[:size] = self.class_of[data]
+        # Row j holds the j-th byte of every lane.
+        kind = np.ascontiguousarray(kind.reshape(lanes, lane).T)
+        out = np.empty((lane, lanes), dtype=np.int32)
+        state = np.zeros(lanes, dtype=np.int32)
+        for j in range(lane):
+            state = self.step[state + kind[j]]
+            out[j] = state
+        begun = np.zeros(lanes, dtype=np.int32)
+        while True:
+            wanted = np.concatenate(([0], out[-1, :-1]))
+            which = np.flatnonzero(wanted != begun)
+            if not len(which):
+                break
+            begun[which] = state = wanted[which]
+            for j in range(lane):
+                state = self.step[state + kind[j, which]]
+                new = state != out[j, which]
+                if not new.all():
+                    # The others have met their former states.
+                    which, state = which[new], state[new]
+                    if not len(which):
+                        break
+                out[j, which] = state
+        return self.accept[out.T.reshape(-1)[:size] // self.n_classes]
+
+    def _long_enough(self, r: int, text: bytes) -> bool:
+        """Whether the tested part of a match of rule r reaches the rule's length."""
+        rule = self.rules[r]
+        if self.parts[r] is None:
+            return len(text) >= rule.least
+        m = self.parts[r].fullmatch(text)
+        return m is not None and m.end(rule.group) - m.start(rule.group) >= rule.least
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> list[list[tuple[int, int, int]]]:
         """Per text: (start, rule, end) in bytes of the text, sorted by start, then rule."""
@@ -325,22 +404,21 @@ class Automaton:
         reset = np.flatnonzero(self.resets[joined])
         for r, rule in enumerate(self.rules):
             on = (hit >> np.uint32(r)) & np.uint32(1)
+            spans = []
             if self.is_run[r]:
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], on.astype(np.int8), [0]))))
                 s, e = edge[::2], edge[1::2]
                 long = e - s >= rule.least
                 spans = zip(s[long].tolist(), e[long].tolist(), strict=True)
+            elif rule.mark:
+                for d in np.unique(np.searchsorted(begin, np.flatnonzero(on), side="right") - 1).tolist():
+                    low = int(begin[d])
+                    spans += [(low + m.start(), low + m.end()) for m in self.bodies[r].finditer(joined[low : int(put[d])].tobytes()) if m.end() - m.start() >= rule.least]
             else:
-                at = np.flatnonzero(on)
-                if rule.mark:
-                    stretches = [(int(begin[d]), int(put[d])) for d in np.unique(np.searchsorted(begin, at, side="right") - 1).tolist()]
-                else:
-                    stretches = [(int(reset[k - 1]) + 1 if k else 0, int(reset[k])) for k in np.unique(np.searchsorted(reset, at)).tolist()]
-                spans = []
-                for low, high in stretches:
-                    for m in self.exact[r].finditer(joined[low:high].tobytes()):
-                        if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                            spans.append((low + m.start(), low + m.end()))
+                for k in np.unique(np.searchsorted(reset, np.flatnonzero(on))).tolist():
+                    low = int(reset[k - 1]) + 1 if k else 0
+                    text = joined[low : int(reset[k])].tobytes()
+                    spans += [(low + s, low + e) for s, e in self.spans[r].find(text) if self._long_enough(r, text[s:e])]
             for s, e in spans:
                 d = int(np.searchsorted(begin, s, side="right")) - 1
                 found[d].append((s - int(begin[d]), r, e - int(begin[d])))
