@@ -12,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Working set of one vectorised step: a chunk holds at most so many bytes of text, or one row.
 CHUNK_BYTES = 2 << 20
@@ -82,6 +83,27 @@ def discard(spark: SparkSession, kept: list[str]) -> None:
     kept.clear()
 
 
+#: A table of at most so many rows of a few numbers may be broadcast: some tens of MB in each executor.
+SMALL_ROWS = 500_000
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, n: str, by: list[str], *, per_task: int, how: str = "inner") -> DataFrame:
+    """`left` joined with `right` by `key`, of which `right` has one row each and in `n` the number of `left` rows.
+
+    Keys with more than `per_task` rows are dealt over parts by a hash of `by`. Such keys are at most 50,000, as the limit grows with the rows, so
+    their list is broadcast; the others take no part in that. The result has no column `n`.
+    """
+    row = right.agg(F.sum(n).alias("rows"), F.max(n).alias("most")).first()
+    limit = max(per_task, (row["rows"] or 0) // 50_000)
+    if (row["most"] or 0) <= limit:
+        return left.join(right.drop(n), key, how)
+    parts = F.ceil(F.col(n) / F.lit(limit)).cast("int")
+    hot = right.where(F.col(n) > limit).select(key, parts.alias("__parts"))
+    dealt = left.join(F.broadcast(hot), key, "left").withColumn("__part", F.pmod(F.xxhash64(*by), F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
+    split = right.withColumn("__part", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1))).drop(n)
+    return dealt.join(split, [key, "__part"], how).drop("__part")
+
+
 def sha256_hex(data: str | bytes) -> str:
     return hashlib.sha256(data.encode("utf-8") if isinstance(data, str) else data).hexdigest()
 

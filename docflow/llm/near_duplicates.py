@@ -1,25 +1,32 @@
 """Near-duplicate classes: improved consistent weighted sampling over TF-IDF shingles, banded, verified.
 
 Words are runs of letters and digits (and all characters beyond ASCII), A-Z lower-cased. A shingle is five words; a
-text of fewer words, but not none, is one shingle. A shingle's weight is (1 + ln 2 * floor(log2 tf)) * (1 + `SPAN` * idf /
-ln(1 / `RARE`)), idf = ln(N / df) held between 0 and ln(1 / `RARE`) and rounded to `LEVELS` steps. df is counted over all
-documents in a sketch of 2^17 counters, whose error is the mean number of shingles a document has over 2^17, a share of
-N that does not change with the input. The span is small so that in a large group of near copies, whose common
-shingles are frequent by themselves, the few differing shingles do not outweigh them.
+text of fewer words, but not none, is one shingle. A shingle's weight is (1 + ln tf) * idf with idf = ln(1 + 1 / max(df / N, `RARE`)), rounded to
+steps of `STEP`: from 0.75 for a shingle in all texts to 6.25 for one in at most one of 500.
+
+The reference for df and N is the corpus with each group of near copies counted once: otherwise the shingles that the copies of a large group share
+would be frequent by themselves, weigh little, and a few changed words would part the group. A text belongs to the reference if it has the
+least id among the texts that share any of `FIRST_BANDS` bands of `ROWS` plain minimum hashes with it. df is counted over all rows in a sketch of
+2^20 counters, and the rows outside the reference, whose texts are read again, are taken off. The sketch's error is the mean number of
+shingles a document has over 2^20, a share of N that does not change with the input and lies below `RARE` for documents of 2,000 words.
 
 Consistent weighted sampling draws, for each of `BANDS` x `ROWS` hash functions, Gamma(2, 1) variables r and c and a
-uniform beta per shingle (by a table of 2^16 draws, as weights take few values) and keeps the shingle with the least
-c / (y e^r), y = exp(r (floor(ln w / r + beta) - beta)), with floor(...) as part of the sample. Equal samples in all
+uniform beta per shingle (by a table of 2^16 draws for each weight; in sampling alone tf is rounded down to a power of two) and keeps the shingle
+with the least c / (y e^r), y = exp(r (floor(ln w / r + beta) - beta)), with floor(...) as part of the sample. Equal samples in all
 rows of a band are a bucket.
 
 Exact copies (equal word sequences) become one node, by an aggregation that combines before it shuffles. Buckets of up
-to `SMALL` nodes give all their pairs; larger ones pair each node with their least id. Pairs are verified by the exact weighted
-Jaccard similarity, at least `THRESHOLD`, and links become classes by label propagation with pointer jumping over
-written tables. Where large buckets still hold several classes, the nodes outside the most frequent class are compared with all
-nodes there, in blocks of about `BLOCK` nodes, by the same similarity, and their links join classes. No group is gathered
+to `SMALL` nodes give all their pairs; larger ones pair each node with their most central one, whose own buckets hold the most nodes (the original of
+many copies, as a rule). Pairs are verified by the exact weighted Jaccard similarity, at least `THRESHOLD`, and links become classes by
+label propagation with pointer jumping over written tables. Where large buckets still hold several classes, the nodes outside the most
+frequent class meet all nodes there, in blocks of about `BLOCK`: first by their samples, of which at least `LEAST_EQUAL` must agree (a pair at
+the threshold misses that once in 100,000), then the texts that are left by the exact similarity. No group is gathered
 in one task, and the pairs of a group are never listed.
 
-Defined results: a text that is null or has no words is a class of its own; rows that share an id are one document; rows
+Texts are shuffled only for documents that share a bucket or have copies; while their ids are few, these are broadcast and texts stay in place.
+
+Defined results: a text that is null or has no words is a class of its own; rows that share an id are one document, near to all that any of its texts is near to, of which `deduplicate`
+keeps the row with the least text (null first, then by the other columns as JSON); rows
 with a null id have a null class and are always kept; ties go to the least id; extra columns are ignored by `classes`
 and carried by `deduplicate`; an empty table gives no rows.
 """
@@ -32,16 +39,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import chunks, col, materialise, table, text_buffers
+from docflow.llm.common import SMALL_ROWS, chunks, col, discard, materialise, spread_join, table, text_buffers
 
 WORDS, THRESHOLD = 5, 0.8
-BANDS, ROWS = 16, 3
-SKETCH_BITS, LEVELS, SPAN, RARE, TF_LEVELS = 17, 4, 0.1, 0.02, 8
-SMALL, BLOCK, BLOCK_BYTES = 8, 512, 4 << 20
+BANDS, ROWS, FIRST_BANDS = 16, 3, 6
+SKETCH_BITS, RARE, STEP = 20, 0.002, 0.25
+SMALL, BLOCK, BLOCK_BYTES, LEAST_EQUAL = 8, 512, 4 << 20, 26
 _TABLE_BITS = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLE = np.uint64(0xD6E8FEB86659FD93)
@@ -130,18 +137,25 @@ def _counter(shingle: np.ndarray) -> np.ndarray:
 
 
 class Weights:
-    """Weight classes of shingles: term-frequency level and inverse-document-frequency level."""
+    """Weights of shingles: 1 + ln tf times the inverse document frequency, which is kept in steps for each counter."""
 
     def __init__(self, counts: np.ndarray, n_docs: int):
-        most = math.log(1 / RARE)
-        idf = np.clip(np.log(max(1, n_docs) / np.maximum(counts, 1)), 0, most)
-        self.level = np.round(idf / most * (LEVELS - 1)).astype(np.uint8)
-        tf = 1 + math.log(2) * np.arange(TF_LEVELS)
-        self.weight = np.outer(tf, 1 + SPAN * np.arange(LEVELS) / (LEVELS - 1)).ravel()
+        share = np.maximum(counts, 0) / max(1, n_docs)
+        self.level = np.round(np.log1p(1 / np.maximum(share, RARE)) / STEP).astype(np.uint8)
+
+    def idf(self, shingle: np.ndarray) -> np.ndarray:
+        return self.level[_counter(shingle)] * STEP
+
+    def of(self, shingle: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        return (1 + np.log(tf)) * self.idf(shingle)
 
     def classes(self, shingle: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        level = np.minimum(np.floor(np.log2(tf)).astype(np.int64), TF_LEVELS - 1)
-        return level * LEVELS + self.level[_counter(shingle)]
+        """What the samples tell apart: 256 * floor(log2 tf) + steps of the idf."""
+        return np.floor(np.log2(tf)).astype(np.int64) * 256 + self.level[_counter(shingle)]
+
+
+def _class_weight(kind: int) -> float:
+    return (1 + math.log(2) * (kind >> 8)) * (kind & 255) * STEP
 
 
 @lru_cache(maxsize=1)
@@ -151,7 +165,7 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rng.gamma(2.0, 1.0, n), rng.gamma(2.0, 1.0, n), rng.random(n)
 
 
-@lru_cache(maxsize=TF_LEVELS * LEVELS)
+@lru_cache(maxsize=96)
 def _sample_table(weight: float) -> np.ndarray:
     """For a weight: of each draw, c / (y e^r) as ordered bits in the upper half and the step t, mixed, in the lower."""
     r, c, beta = _draws()
@@ -161,26 +175,43 @@ def _sample_table(weight: float) -> np.ndarray:
     return bits << np.uint64(32) | (t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
 
 
-_ODD = [int(x) | 1 for x in np.random.Generator(np.random.PCG64(77)).integers(1 << 62, (1 << 63) - 1, BANDS * ROWS)]
+_ODD = [int(x) | 1 for x in np.random.Generator(np.random.PCG64(77)).integers(1 << 62, (1 << 63) - 1, (BANDS + FIRST_BANDS) * ROWS)]
 
 
-def bands(weights: Weights, of: np.ndarray, shingle: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(texts with shingles, their BANDS bucket keys)."""
+def samples(weights: Weights, of: np.ndarray, shingle: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(texts with shingles, their BANDS * ROWS samples as 32-bit numbers)."""
     start = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
     kind = weights.classes(shingle, tf)
     used = np.unique(kind)
-    tables = np.concatenate([_sample_table(float(weights.weight[k])) for k in used.tolist()])
+    tables = np.concatenate([_sample_table(_class_weight(k)) for k in used.tolist()])
     base = np.searchsorted(used, kind) << _TABLE_BITS
     mixed = _mixed(shingle)
     low = mixed & np.uint64(0xFFFFFFFF)
-    out = np.zeros((len(start), BANDS), dtype=np.uint64)
+    out = np.zeros((len(start), BANDS * ROWS), dtype=np.uint32)
+    for k in range(BANDS * ROWS):
+        at = (mixed * np.uint64(_ODD[k]) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64) + base
+        out[:, k] = np.minimum.reduceat(tables[at] ^ low, start) & np.uint64(0xFFFFFFFF)
+    return of[start], out
+
+
+def first_samples(of: np.ndarray, shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(texts with shingles, their FIRST_BANDS * ROWS plain minimum hashes)."""
+    start = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    mixed = _mixed(shingle)
+    out = np.zeros((len(start), FIRST_BANDS * ROWS), dtype=np.uint32)
+    for k in range(FIRST_BANDS * ROWS):
+        out[:, k] = np.minimum.reduceat(mixed * np.uint64(_ODD[BANDS * ROWS + k]) >> np.uint64(32), start)
+    return of[start], out
+
+
+def band_keys(found: np.ndarray) -> np.ndarray:
+    """The bucket keys of the bands of samples."""
+    out = np.zeros((len(found), found.shape[1] // ROWS), dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for k, odd in enumerate(_ODD):
-            at = (mixed * np.uint64(odd) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64) + base
-            least = np.minimum.reduceat(tables[at] ^ low, start) & np.uint64(0xFFFFFFFF)
+        for k in range(found.shape[1]):
             b = k // ROWS
-            out[:, b] = _mixed(out[:, b] * _SHINGLE + least + np.uint64(k + 1))
-    return of[start], out.view(np.int64)
+            out[:, b] = _mixed(out[:, b] * _SHINGLE + found[:, k] + np.uint64(k + 1))
+    return out.view(np.int64)
 
 
 def similarity(weights: Weights, left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -189,7 +220,7 @@ def similarity(weights: Weights, left: pa.Array, right: pa.Array) -> np.ndarray:
     sides = []
     for side in (left, right):
         of, shingle, tf, _ = shingles(side)
-        sides.append((of.astype(np.uint64) << np.uint64(48) | shingle, weights.weight[weights.classes(shingle, tf)]))
+        sides.append((of.astype(np.uint64) << np.uint64(48) | shingle, weights.of(shingle, tf)))
     (ka, wa), (kb, wb) = sides
     at = np.searchsorted(kb, ka)
     at[at == len(kb)] = 0
@@ -205,31 +236,32 @@ def _small(batches, column="text", rows=20_000):
             yield b.slice(k, rows)
 
 
-def _fit(frame: DataFrame) -> Weights:
-    """Document frequencies of all texts, summed over fixed-size sketches; the driver gets 2^17 numbers."""
+def _sketch(frame: DataFrame) -> tuple[np.ndarray, int]:
+    """(document frequencies by counter, documents) of the texts, each counted `times`; fixed-size sketches are summed, the driver gets 2^20 numbers."""
 
-    def sketch(batches):
+    def run(batches):
         counts, docs = np.zeros(1 << SKETCH_BITS, dtype=np.int64), 0
         for b in _small(batches):
             of, shingle, _, _ = shingles(col(b, "text"))
-            counts += np.bincount(_counter(shingle), minlength=len(counts))
-            docs += len(np.unique(of))
+            times = col(b, "times").to_numpy(zero_copy_only=False)
+            counts += np.bincount(_counter(shingle), times[of], minlength=len(counts)).astype(np.int64)
+            docs += int(times[np.unique(of)].sum())
         at = np.flatnonzero(counts)
         if docs:
             yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(counts[at], docs))], ["k", "n"])
 
-    found = frame.select("text").mapInArrow(sketch, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+    found = frame.select("text", "times").mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     own = found[found.k >= 0]
     counts[own.k.to_numpy()] = own.n.to_numpy()
-    return Weights(counts, int(found.n[found.k < 0].sum()))
+    return counts, int(found.n[found.k < 0].sum())
 
 
-def _signed(frame: DataFrame, weights) -> DataFrame:
-    """id, digest of the word sequence (null without words), bands."""
+def _sampled(frame: DataFrame, weights=None) -> DataFrame:
+    """id, digest of the word sequence (null without words), bytes of the text, samples: weighted ones, or plain ones without weights."""
 
     def run(batches):
-        seen: dict[bytes, list[int]] = {}
+        seen: dict[bytes, bytes] = {}
         for b in _small(batches):
             of, shingle, tf, (h, first) = shingles(col(b, "text"))
             digests = [hashlib.blake2b(h[s:e].tobytes(), digest_size=16).digest() if e > s else None for s, e in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
@@ -243,15 +275,63 @@ def _signed(frame: DataFrame, weights) -> DataFrame:
                     new.add(x)
             use = wanted[of]
             if use.any():
-                texts, keys = bands(weights.value, of[use], shingle[use], tf[use])
-                for d, k in zip(texts.tolist(), keys.tolist(), strict=True):
-                    seen[digests[d]] = k
-            yield pa.RecordBatch.from_arrays([col(b, "id"), pa.array(digests, pa.binary()), pa.array([None if x is None else seen[x] for x in digests], pa.list_(pa.int64()))], ["id", "digest", "bands"])
+                texts, found = samples(weights.value, of[use], shingle[use], tf[use]) if weights else first_samples(of[use], shingle[use])
+                for d, k in zip(texts.tolist(), found, strict=True):
+                    seen[digests[d]] = k.tobytes()
+            sizes = np.diff(text_buffers(col(b, "text"))[1])
+            yield pa.RecordBatch.from_arrays([col(b, "id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array([None if x is None else seen[x] for x in digests], pa.binary())], ["id", "digest", "size", "sample"])
 
-    schema = T.StructType([frame.schema["id"], *T.StructType.fromDDL("digest binary, bands array<long>")])
+    schema = T.StructType([frame.schema["id"], *T.StructType.fromDDL("digest binary, size long, sample binary")])
     return frame.select("id", "text").mapInArrow(run, schema)
 
 
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """(id, key): the bucket keys of the nodes' samples."""
+
+    def run(batches):
+        for b in batches:
+            for k in range(0, b.num_rows, 10_000):
+                part = b.slice(k, 10_000)
+                keys = band_keys(np.frombuffer(b"".join(col(part, "sample").to_pylist()), dtype=np.uint32).reshape(part.num_rows, -1))
+                ids = np.repeat(col(part, "id").to_numpy(), keys.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys.ravel())], ["id", "key"])
+
+    return nodes.select("id", "sample").mapInArrow(run, "id long, key long")
+
+
+def _nodes(signed: DataFrame) -> DataFrame:
+    """One row for each word sequence: digest, least id, rows, bytes, sample."""
+    return signed.where("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("sample").alias("sample"))
+
+
+def _with_texts(frame: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `frame` (id, text) whose id is in `ids` (id and further numbers, written), with these.
+
+    Few ids are broadcast, so that texts stay in place. Beyond, a broadcast of a fixed number of id buckets keeps most other texts out of the shuffle
+    while the ids fill few of them.
+    """
+    n = ids.count()
+    if n <= SMALL_ROWS:
+        return frame.join(F.broadcast(ids), "id")
+    buckets = 4 * SMALL_ROWS
+    bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+    if n < buckets:
+        frame = frame.join(F.broadcast(ids.select(bucket.alias("bucket")).distinct()), bucket == F.col("bucket"), "left_semi")
+    return frame.join(ids.hint("merge"), "id")
+
+
+def fit(frame: DataFrame, kept: list[str]) -> Weights:
+    """Weights by the document frequencies of the reference (see the module); frame: id, text."""
+    counts, docs = _sketch(frame.select("text", F.lit(1).cast("long").alias("times")))
+    nodes = materialise(_nodes(_sampled(frame)), "near-first", kept)
+    # The least text of all its buckets.
+    leaders = _keyed(nodes).groupBy("key").agg(F.min("id").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("led")).where(F.col("led") >= FIRST_BANDS)
+    times = nodes.select("id", "n").join(leaders, "id", "left").select("id", (F.col("n") - F.when(F.col("led").isNull(), 0).otherwise(1)).alias("times"))
+    copies = materialise(times.where("times > 0"), "near-copies", kept)
+    less, fewer = _sketch(_with_texts(frame, copies))
+    return Weights(counts - less, docs - fewer)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
 
@@ -266,19 +346,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, threshold: float) ->
     return both.mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def components(edges: DataFrame, tag: str = "near-labels") -> DataFrame:
+def components(edges: DataFrame, kept: list[str] | None = None, tag: str = "near-labels") -> DataFrame:
     """(id, label) of all nodes of the edges (a, b): the least id of the connected component.
 
     Each round takes the least label of the neighbours and then the label's own label; rounds go on until none changes.
     Labels and edges are written tables, so a join may split a hub's edges, and minima combine before they shuffle.
     """
     both = edges.select(F.col("a").alias("id"), F.col("b").alias("to")).unionByName(edges.select(F.col("b").alias("id"), F.col("a").alias("to")))
-    labels = materialise(both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("label")), tag)
+    labels = materialise(both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("label")), tag, kept)
     while True:
         near = both.join(labels.select(F.col("id").alias("to"), F.col("label").alias("l")), "to").select("id", "l").groupBy("id").agg(F.min("l").alias("l"))
-        next_ = materialise(labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "l").alias("label")), tag)
+        next_ = materialise(labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "l").alias("label")), tag, kept)
         jump = next_.select(F.col("id").alias("label"), F.col("label").alias("l"))
-        labels = materialise(next_.join(jump, "label").select("id", "old", F.least("label", "l").alias("label")), tag)
+        labels = materialise(next_.join(jump, "label").select("id", "old", F.least("label", "l").alias("label")), tag, kept)
         if labels.where("label < old").isEmpty():
             return labels.select("id", "label")
         labels = labels.select("id", "label")
@@ -287,15 +367,14 @@ def components(edges: DataFrame, tag: str = "near-labels") -> DataFrame:
 def _shared(weights: Weights, left: tuple, right: tuple, n_left: int, n_right: int) -> np.ndarray:
     """The matrix of shared weights of two sets of texts.
 
-    A weight of term-frequency level t is the sum of t + 1 steps, so the lesser of two weights is the sum of the steps that
-    both have; these are features of their own, and shared features come from matrix products over a few thousand at a time.
+    A weight is the sum of its steps, idf for the first occurrence and idf * ln(t / (t - 1)) for the t-th, so the lesser of two weights is the sum of the
+    steps that both have; these are features of their own, and shared features come from matrix products over a few thousand at a time.
     """
     sides = []
     for of, shingle, tf in (left, right):
-        level = np.minimum(np.floor(np.log2(tf)).astype(np.int64), TF_LEVELS - 1)
-        at = np.repeat(np.arange(len(of)), level + 1)
-        step = np.arange(len(at)) - np.repeat(np.cumsum(level + 1) - level - 1, level + 1)
-        sides.append((of[at], shingle[at] << np.uint64(4) | step.astype(np.uint64), shingle[at], step))
+        at = np.repeat(np.arange(len(of)), tf)
+        step = np.arange(len(at)) - np.repeat(np.cumsum(tf) - tf, tf) + 1
+        sides.append((of[at], _mixed(shingle[at] * _MIX + step.astype(np.uint64)), shingle[at], step))
     both = np.intersect1d(sides[0][1], sides[1][1])
     out = np.zeros((n_left, n_right), dtype=np.float64)
     if not len(both):
@@ -306,41 +385,56 @@ def _shared(weights: Weights, left: tuple, right: tuple, n_left: int, n_right: i
         hit = both[k] == key
         place.append((of[hit], k[hit], shingle[hit], step[hit]))
     gain = np.zeros(len(both))
-    of, k, shingle, step = place[0]
-    grid = weights.weight.reshape(TF_LEVELS, LEVELS)
-    idf = weights.level[_counter(shingle)].astype(np.int64)
-    gain[k] = np.where(step == 0, grid[0, idf], grid[np.minimum(step, TF_LEVELS - 1), idf] - grid[np.maximum(step - 1, 0), idf])
+    _, k, shingle, step = place[0]
+    gain[k] = weights.idf(shingle) * np.where(step == 1, 1.0, np.log(step / np.maximum(step - 1, 1)))
     width = 4096
+    orders = [np.argsort(p[1], kind="stable") for p in place]
     for low in range(0, len(both), width):
         a, b = np.zeros((n_left, width), np.float64), np.zeros((n_right, width), np.float64)
-        for m, (of, k, _, _) in zip((a, b), place, strict=True):
-            own = (k >= low) & (k < low + width)
+        for m, (of, k, _, _), order in zip((a, b), place, orders, strict=True):
+            own = order[np.searchsorted(k[order], low) : np.searchsorted(k[order], low + width)]
             m[of[own], k[own] - low] = 1
         a[:, : min(width, len(both) - low)] *= gain[low : low + width]
         out += a @ b.T
     return out
 
 
-def _linked(large: DataFrame, open_: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
+def _linked(large: DataFrame, open_: DataFrame, nodes: DataFrame, texts: DataFrame, weights, threshold: float, kept: list[str]) -> DataFrame:
     """Links (a, b) between classes that share large buckets, found in blocks.
 
     large: key, id, label; open_: key and the least label of buckets with several classes. Buckets of the same least label
-    form a cluster. Its nodes outside the most frequent class meet all its nodes, in blocks of about `BLOCK` nodes and `BLOCK_BYTES` of
-    text; a task gives at most one link for a node and another class, so its output does not grow with the pairs it compares.
+    form a cluster. Its nodes outside the most frequent class meet all its nodes, in blocks of about `BLOCK` nodes and `BLOCK_BYTES` of text: by
+    their samples, then, where these allow a link, by their texts. A task gives at most one link for a node and another class.
     """
-    rows = materialise(large.join(open_, "key").select("cluster", "id", "label").distinct(), "near-rest")
-    merged = rows.join(texts.hint("merge"), "id").select("cluster", "id", "label", "text")
-    rows = materialise(merged, "near-rest")
-    per = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    rows = large.join(open_, "key").select("cluster", "id", "label").distinct()
+    rows = materialise(rows.join(nodes.select("id", "size", "sample"), "id"), "near-rest", kept)
+    per = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
     blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES, F.lit(1.0))).cast("int")
     sizes = per.groupBy("cluster").agg(F.max(F.struct("n", F.col("bytes"), "label")).alias("m"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
-    sizes = materialise(sizes.select("cluster", F.col("m.label").alias("main"), blocks(F.col("n"), F.col("bytes")).alias("ni"), blocks(F.col("n") - F.col("m.n"), F.col("bytes") - F.col("m.bytes")).alias("nj")), "near-sizes")
+    sizes = materialise(sizes.select("cluster", F.col("m.label").alias("main"), blocks(F.col("n"), F.col("bytes")).alias("ni"), blocks(F.col("n") - F.col("m.n"), F.col("bytes") - F.col("m.bytes")).alias("nj")), "near-sizes", kept)
     own = rows.join(sizes, "cluster")
     part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    node = ["id", "label", "text"]
+    node = ["id", "label", "sample"]
     left = own.select("cluster", part("ni").alias("i"), each("nj").alias("j"), F.lit(True).alias("all"), *node)
     right = own.where("label != main").select("cluster", each("ni").alias("i"), part("nj").alias("j"), F.lit(False).alias("all"), *node)
+    cells = "cluster long, i int, j int, `all` boolean, id long, label long"
+
+    def likely(t: pa.Table) -> pa.Table:
+        """The nodes of a cell with a partner of another label whose samples agree often enough."""
+        mask = t["all"].to_numpy()
+        sides = [t.filter(pa.array(m)) for m in (mask, ~mask)]
+        found = [np.frombuffer(b"".join(s["sample"].to_pylist()), dtype=np.uint32).reshape(s.num_rows, -1) for s in sides if s.num_rows]
+        if len(found) < 2:
+            return t.slice(0, 0).drop_columns(["sample"])
+        equal = np.zeros((len(found[0]), len(found[1])), dtype=np.uint8)
+        for k in range(found[0].shape[1]):
+            equal += found[0][:, k, None] == found[1][None, :, k]
+        labels = [s["label"].to_numpy() for s in sides]
+        good = (equal >= LEAST_EQUAL) & (labels[0][:, None] != labels[1][None, :])
+        return pa.concat_tables([s.filter(pa.array(good.any(axis=1 - k))) for k, s in enumerate(sides)]).drop_columns(["sample"])
+
+    candidates = materialise(left.unionByName(right).groupBy("cluster", "i", "j").applyInArrow(likely, cells), "near-cells", kept)
 
     def run(t: pa.Table) -> pa.Table:
         mask = t["all"].to_numpy()
@@ -349,7 +443,7 @@ def _linked(large: DataFrame, open_: DataFrame, texts: DataFrame, weights, thres
         if sides[0].num_rows and sides[1].num_rows:
             w = weights.value
             found = [shingles(s["text"].combine_chunks()) for s in sides]
-            total = [np.bincount(f[0], w.weight[w.classes(f[1], f[2])], minlength=s.num_rows) for f, s in zip(found, sides, strict=True)]
+            total = [np.bincount(f[0], w.of(f[1], f[2]), minlength=s.num_rows) for f, s in zip(found, sides, strict=True)]
             shared = _shared(w, found[0][:3], found[1][:3], sides[0].num_rows, sides[1].num_rows)
             good = shared >= threshold * (total[0][:, None] + total[1][None, :] - shared) - 1e-9
             ids, labels = [s["id"].to_numpy() for s in sides], [s["label"].to_numpy() for s in sides]
@@ -363,50 +457,66 @@ def _linked(large: DataFrame, open_: DataFrame, texts: DataFrame, weights, thres
                     b.append(max(int(ids[0][i]), int(ids[1][j])))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return left.unionByName(right).groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return candidates.join(texts.hint("merge"), "id").groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: id and class_id, the least id of its near-duplicate class. Ids are integers."""
-    sc = docs.sparkSession.sparkContext
+    sc, kept = docs.sparkSession.sparkContext, []
     frame = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    weights = sc.broadcast(_fit(frame))
-    signed = materialise(_signed(frame, weights), "near-signed")
-    nodes = materialise(signed.where("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "near-nodes")
-    keyed = nodes.select("id", F.explode("bands").alias("key"))
-    buckets = materialise(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("leader")).where("n > 1"), "near-buckets")
-    members = materialise(keyed.join(buckets, "key"), "near-members")
+    weights = sc.broadcast(fit(frame, kept))
+    signed = materialise(_sampled(frame, weights), "near-signed", kept)
+    nodes = materialise(_nodes(signed), "near-nodes", kept)
+    keyed = _keyed(nodes)
+    buckets = materialise(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-buckets", kept)
+    members = materialise(keyed.join(buckets, "key"), "near-members", kept)
     few = members.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     few = few.select("ids", F.explode("ids").alias("a")).select("a", F.explode("ids").alias("b")).where("a < b")
-    many = members.where((F.col("n") > SMALL) & (F.col("id") > F.col("leader"))).select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    pairs = materialise(few.unionByName(many).distinct(), "near-pairs")
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = materialise(frame.join(wanted.hint("merge"), "id", "left_semi"), "near-texts")
-    edges = materialise(_verified(pairs, texts, weights, threshold), "near-edges")
-    labels = components(edges)
-    large = members.where(F.col("n") > SMALL).join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    open_ = materialise(large.groupBy("key").agg(F.min("label").alias("cluster"), F.max("label").alias("m")).where("cluster < m").select("key", "cluster"), "near-open")
+    crowded = members.where(F.col("n") > SMALL)
+    central = crowded.join(crowded.groupBy("id").agg(F.sum("n").alias("near")), "id").groupBy("key").agg(F.max_by("id", F.struct("near", -F.col("id"))).alias("leader"))
+    many = crowded.join(central, "key").where("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+    pairs = materialise(few.unionByName(many).distinct(), "near-pairs", kept)
+    wanted = materialise(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "near-wanted", kept)
+    texts = _with_texts(frame, wanted)
+    texts = materialise(texts.distinct() if _repeats(signed) else texts, "near-texts", kept)
+    edges = materialise(_verified(pairs, texts, weights, threshold), "near-edges", kept)
+    labels = components(edges, kept)
+    large = crowded.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    open_ = materialise(large.groupBy("key").agg(F.min("label").alias("cluster"), F.max("label").alias("m")).where("cluster < m").select("key", "cluster"), "near-open", kept)
     if not open_.isEmpty():
-        more = materialise(_linked(large, open_, texts, weights, threshold), "near-edges")
+        more = materialise(_linked(large, open_, nodes, texts, weights, threshold, kept), "near-edges", kept)
         if not more.isEmpty():
-            labels = components(edges.unionByName(more))
-    named = materialise(nodes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("class_id")), "near-classes")
+            labels = components(edges.unionByName(more), kept)
+    named = materialise(nodes.select("digest", "id", "n").join(labels, "id", "left").select("digest", "n", F.coalesce("label", "id").alias("class_id")), "near-classes", kept)
     alone = signed.where("digest is null or id is null").select("id", F.col("id").alias("class_id"))
-    grouped = signed.where("digest is not null and id is not null").select("digest", "id").join(named, "digest").select("id", "class_id")
-    return grouped.unionByName(alone).withColumnRenamed("id", id_col)
+    grouped = spread_join(signed.where("digest is not null and id is not null").select("digest", "id"), named, "digest", "n", ["id"], per_task=200_000).select("id", "class_id")
+    out = materialise(grouped.unionByName(alone), "near-result")
+    discard(docs.sparkSession, kept)
+    return out.withColumnRenamed("id", id_col)
+
+
+def _repeats(signed: DataFrame) -> bool:
+    """Whether rows share an id."""
+    return not signed.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents with the least id of their class, one row each, and all rows with a null id; all columns are carried."""
-    found = materialise(classes(docs, id_col=id_col, text_col=text_col, threshold=threshold), "near-found")
-    dropped = found.where(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("__id"))
+    found = classes(docs, id_col=id_col, text_col=text_col, threshold=threshold).where(F.col(id_col).isNotNull())
+    state = found.groupBy(F.col(id_col).alias("__id")).agg(F.count(F.lit(1)).alias("__n"), F.min(F.col("class_id")).alias("__class"))
+    # Ids that go, and ids of several rows, of which one stays.
+    touched = materialise(state.where("__n > 1 or __class != __id").select("__id", (F.col("__class") == F.col("__id")).alias("__one")), "near-touched")
+    few = touched.count() <= SMALL_ROWS
+    hint = F.broadcast if few else (lambda t: t.hint("merge"))
     key = docs[id_col].cast("long")
-    repeated = materialise(found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).count().where("count > 1").select("__id"), "near-repeated")
-    if repeated.isEmpty():
-        return docs.join(dropped.hint("merge"), key == dropped["__id"], "left_anti")
-    once = docs.join(repeated, key == repeated["__id"], "left_semi").join(dropped, key == dropped["__id"], "left_anti").dropDuplicates([id_col])
-    gone = dropped.unionByName(repeated)
-    return docs.join(gone.hint("merge"), key == gone["__id"], "left_anti").unionByName(once)
+    rest = docs.join(hint(touched), key == touched["__id"], "left_anti")
+    again = touched.where("__one").select("__id")
+    if again.isEmpty():
+        return rest
+    rows = docs.join(hint(again), key == again["__id"], "left_semi")
+    order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first(), F.to_json(F.struct(*docs.columns)))
+    once = rows.withColumn("__k", F.row_number().over(order)).where(F.col("__k") == 1).drop("__k")
+    return rest.unionByName(once)
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

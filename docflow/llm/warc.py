@@ -20,7 +20,7 @@ line separator is an empty gzip member, so each file is a valid compressed WARC
 in steps, follows the declared lengths, and verifies digests. Files are split by bytes, and each task streams its own.
 
 The decision shuffles only digests and places, which combine on the map side. Digests that occur twice are broadcast if they measure
-below `max_broadcast_bytes`; beyond it the records join them by digest, dealt over so many parts that the largest group of copies is split too.
+below `max_broadcast_bytes`; beyond it the records join them by digest, large groups of copies dealt over parts.
 
 Defined results: a null html is an empty payload; a null url is written as `-`; rows with a null page_id are records without a source id, which
 come after all others; rows that repeat a page_id are records of their own, of which equal payloads revisit the
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import chunks, col, discard, materialise, scratch_path, table
+from docflow.llm.common import chunks, col, discard, materialise, scratch_path, spread_join, table
 
 LEAST_REVISIT = 100
 ARCHIVE_BYTES, FILE_BYTES = 4 << 20, 64 << 20
@@ -414,15 +414,12 @@ def convert(archives: DataFrame, known: DataFrame, *, max_broadcast_bytes: int =
 
     kinds = "name string, source long, digest binary, url string, ip string, date string, default_date string, content_type string, block binary, version int, offset long, status string"
     records = _archives(archives).mapInArrow(parts, kinds)
-    size = known.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("first.url") + F.octet_length("first.name")), F.lit(0)).alias("b"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
-    wanted = known.select("digest", "first")
+    size = known.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("first.url") + F.octet_length("first.name")), F.lit(0)).alias("b")).first()
     if 300 * size["n"] + 2 * size["b"] <= max_broadcast_bytes:
-        joined = records.join(F.broadcast(wanted), "digest", "left")
+        joined = records.join(F.broadcast(known.select("digest", "first")), "digest", "left")
     else:
-        # A group of copies is dealt over as many parts as the largest needs.
-        salt = max(1, min(4096, -(-size["most"] // 2_000)))
-        joined = records.withColumn("part", F.pmod(F.xxhash64("name", "offset"), F.lit(salt)))
-        joined = joined.join(wanted.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<long>")).alias("part")), ["digest", "part"], "left")
+        # A group of copies is dealt over as many parts as it needs.
+        joined = spread_join(records, known.select("digest", "n", "first"), "digest", "n", ["name", "offset"], per_task=2_000, how="left")
     return joined.select(*[n for n, _ in _RECORD], "first").mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("record"))
 
 

@@ -14,7 +14,7 @@ WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 def weighted(text, weights):
     own = n.shingles(pa.array([text]))
-    return dict(zip(own[1].tolist(), weights.weight[weights.classes(own[1], own[2])].tolist(), strict=True))
+    return dict(zip(own[1].tolist(), weights.of(own[1], own[2]).tolist(), strict=True))
 
 
 def jaccard(a, b):
@@ -67,7 +67,7 @@ def test_classes_equal_brute_force(spark, groups, size):
     ids = rng.sample(range(10_000), len(texts))
     rows = list(zip(ids, texts, strict=True)) + [(None, texts[0]), (None, None), (ids[1], texts[1])]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as id", "'x' as class_id")
-    weights = n._fit(df.selectExpr("doc_id as id", "text"))
+    weights = n.fit(df.selectExpr("doc_id as id", "text"), [])
     want = brute(rows, weights)
     out = n.classes(df).collect()
     assert len(out) == len(rows) and [r.class_id for r in out if r.doc_id is None] == [None, None]
@@ -105,7 +105,7 @@ def test_sampling_estimates_similarity():
         for k in rng.sample(range(300), 3):
             own[k] = "z" + str(rng.random())
         of, s, tf, _ = n.shingles(pa.array([" ".join(base), " ".join(own)]))
-        _, keys = n.bands(weights, of, s, tf)
+        keys = n.band_keys(n.samples(weights, of, s, tf)[1])
         hits += (keys[0] == keys[1]).sum()
         total += n.BANDS
         j = n.similarity(weights, pa.array([" ".join(base)]), pa.array([" ".join(own)]))[0]
@@ -140,3 +140,84 @@ def test_components(spark):
         parent[max(find(a), find(b))] = min(find(a), find(b))
     got = {r.id: r.label for r in n.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent}
+
+
+def test_weights_are_tf_times_idf():
+    weights = n.Weights(np.array([0, 1, 10, 100, 1000] + [0] * ((1 << n.SKETCH_BITS) - 5)), 1000)
+    assert weights.level[:5].tolist() == [round(np.log(1 + 1 / max(k / 1000, n.RARE)) / n.STEP) for k in (0, 1, 10, 100, 1000)] == [25, 25, 18, 10, 3]
+    # The term frequency has no bound and is not rounded.
+    own = n.shingles(pa.array(["a " * 5_000 + "b c d e f"]))
+    w = weights.of(own[1], own[2]) / weights.idf(own[1])
+    assert np.allclose(sorted(w)[-1], 1 + np.log(4_996)) and np.allclose(sorted(w)[0], 1)
+
+
+def test_reference_counts_groups_of_copies_once(spark):
+    """A third of all rows are near copies: their common shingles weigh as much as any other's; a line that all others share weighs little."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base, line = [word() for _ in range(120)], [word() for _ in range(12)]
+    rows = []
+    for k in range(200):
+        own = list(base)
+        own[rng.randrange(120)] = word()
+        rows.append((k, " ".join(own)))
+    rows += [(200 + k, " ".join([word() for _ in range(60)] + line)) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    weights = n.fit(df.selectExpr("doc_id as id", "text"), [])
+    level = lambda words: np.median(weights.idf(n.shingles(pa.array([" ".join(words)]))[1]))
+    assert level(base) > 5 and level(line) < 1.25
+    got = {r.doc_id: r.class_id for r in n.classes(df).collect()}
+    assert {got[k] for k in range(200)} == {0} and len({got[k] for k in range(200, 600)}) == 400
+
+
+def test_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(5, b, "y"), (5, a, "z"), (5, a, "x"), (7, a, "k"), (8, b, "k"), (9, c, "k"), (9, None, "k"), (None, a, "n"), (None, a, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    assert {(r.doc_id, r.class_id) for r in n.classes(df).collect()} == {(5, 5), (7, 5), (8, 5), (9, 9), (None, None)}
+    assert sorted(map(repr, map(tuple, n.deduplicate(df).collect()))) == sorted(map(repr, [(5, a, "x"), (9, None, "k"), (None, a, "n"), (None, a, "n")]))
+
+
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_texts_of_many_ids(spark, few, monkeypatch):
+    monkeypatch.setattr(n, "SMALL_ROWS", max(few, 5))
+    frame = spark.range(60).selectExpr("id", "cast(id as string) as text")
+    ids = spark.range(0, 60, 3).selectExpr("id", "id + 1 as times")
+    assert sorted(map(tuple, n._with_texts(frame, ids).collect())) == [(k, str(k), k + 1) for k in range(0, 60, 3)]
+
+
+def test_spread_join(spark):
+    from docflow.llm.common import spread_join
+
+    left = spark.range(1000).selectExpr("id", "CASE WHEN id < 700 THEN 1 ELSE id % 7 END AS k")
+    right = left.groupBy("k").count().withColumnRenamed("count", "n").selectExpr("k", "n", "k * 10 AS v").where("k <> 3")
+    for per_task in (10, 10_000):
+        for how in ("inner", "left"):
+            out = spread_join(left, right, "k", "n", ["id"], per_task=per_task, how=how)
+            assert sorted(map(repr, ((r.id, r.k, r.v) for r in out.collect()))) == sorted(map(repr, map(tuple, left.join(right.drop("n"), "k", how).select("id", "k", "v").collect())))
+
+
+DOCUMENTS = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not __import__("os").path.exists(DOCUMENTS), reason="no test tables")
+def test_recall_on_the_given_documents(spark):
+    """All pairs of the documents that share a shingle, by their exact weights: classes are those of the links at the threshold."""
+    docs = spark.read.parquet(f"{DOCUMENTS}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    weights = n.fit(docs.selectExpr("doc_id as id", "text"), [])
+    want = brute(rows, weights)
+    got = {r.doc_id: r.class_id for r in n.op10_near_duplicates(spark, DOCUMENTS).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_query(spark, tmp_path, empty):
+    texts = corpus(2, 12, 4)
+    rows = [(k, t, k, "x", 1) for k, t in enumerate(texts)] + [(900, "word " * 60_000, 1, "x", 1), (901, "word " * 60_000 + "end", 1, "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id long, class_id string, n int")
+    (df.limit(0) if empty else df).write.parquet(str(tmp_path / "documents.parquet"))
+    out = n.op10_near_duplicates(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "class_id"]
+    got = {r.doc_id: r.class_id for r in out.collect()}
+    assert got == ({} if empty else brute([r[:2] for r in rows], n.fit(df.selectExpr("doc_id as id", "text"), [])))
