@@ -5,10 +5,10 @@ count, byte count and seek table, then one mono frame of 240 bytes (80 kbit/s at
 has its header, a checksum over header and side information, empty side information (it decodes as silence), the 192
 bytes as ancillary data and their CRC-32.
 
-`parse` reads any MPEG-1, 2 or 2.5 stream of Layers I to III: it skips ID3v2, APEv2 and ID3v1 tags, looks for a header that a
-second header of the same kind follows (or that ends the stream), takes up again after broken bytes, reads Xing, Info
-and VBRI tables, verifies checksums of Layer III frames, and returns the exact number of samples and each frame's
-offset.
+`parse` reads any MPEG-1, 2 or 2.5 stream of Layers I to III but free-format ones: it skips ID3v2, APEv2 and ID3v1 tags and returns their
+texts, looks for a header that a second header of the same kind follows (or that ends the stream), takes up again after broken
+bytes, reads Xing, Info and VBRI tables with their seek points, verifies the checksums of all layers, and returns the exact number of
+samples and each frame's offset, by which `offset_at` finds the frame of any sample.
 
 Defined results: null and empty texts are stored as 192 spaces; equal texts give equal values; repeated rows are stored
 each; extra columns are ignored; bytes without any frame parse to no frames and a duration of zero.
@@ -61,9 +61,17 @@ _CRC = _crc_table()
 
 def crc16(data: bytes) -> int:
     """The checksum of MPEG audio: polynomial 0x8005, all ones at the start."""
+    return crc16_bits(data, 8 * len(data))
+
+
+def crc16_bits(data: bytes, n: int) -> int:
+    """The checksum of the first n bits."""
     r = 0xFFFF
-    for b in data:
+    for b in data[: n // 8]:
         r = ((r << 8) & 0xFFFF) ^ _CRC[(r >> 8) ^ b]
+    for k in range(n % 8):
+        top = (r >> 15) ^ (data[n // 8] >> 7 - k & 1)
+        r = (r << 1 & 0xFFFF) ^ (0x8005 if top else 0)
     return r
 
 
@@ -77,6 +85,9 @@ class Header:
     samples: int
     side: int
     kind: int  # bits that all frames of a stream share
+    channels: int = 1
+    bound: int = 32  # subbands below it have an allocation for each channel
+    rate: int = 0  # kbit/s
 
 
 _HEADERS: dict[bytes, Header | None] = {}
@@ -103,7 +114,50 @@ def _header(word: bytes) -> Header | None:
     samples = 384 if layer == 1 else 576 if layer == 3 and version != 3 else 1152
     size = (12 * bits // hertz + pad) * 4 if layer == 1 else samples // 8 * bits // hertz + pad
     side = ((17 if mono else 32) if version == 3 else (9 if mono else 17)) if layer == 3 else 0
-    return Header(version, layer, not word[1] & 1, size, hertz, samples, side, word[1] & 0x1E | (word[2] & 0x0C) << 8)
+    joint = word[3] >> 6 == 1
+    return Header(version, layer, not word[1] & 1, size, hertz, samples, side, word[1] & 0x1E | (word[2] & 0x0C) << 8, 1 if mono else 2, 4 * ((word[3] >> 4 & 3) + 1) if joint else 32, bits // 1000)
+
+
+#: Fixed values of ISO 11172-3 (tables B.2a to B.2d) and 13818-3 (B.1): how many subbands have allocations of so many bits.
+_ALLOCATIONS = {"a": ((11, 4), (12, 3), (4, 2)), "b": ((11, 4), (12, 3), (7, 2)), "c": ((2, 4), (6, 3)), "d": ((2, 4), (10, 3)), "low": ((4, 4), (7, 3), (19, 2))}
+
+
+def _allocations(h: Header) -> list[int]:
+    """Layer II: the bits of the allocation of each subband."""
+    each = h.rate // h.channels
+    if h.version != 3:
+        name = "low"
+    elif each in (32, 48):
+        name = "d" if h.hertz == 32000 else "c"
+    else:
+        name = "a" if h.hertz == 48000 or each <= 80 else "b"
+    return [bits for n, bits in _ALLOCATIONS[name] for _ in range(n)]
+
+
+def protected_bits(h: Header, body: bytes) -> int:
+    """How many bits behind the checksum it covers: side information, or allocations and the selection of scale factors."""
+    if h.layer == 3:
+        return 8 * h.side
+    if h.layer == 1:
+        return 4 * (h.channels * min(h.bound, 32) + 32 - min(h.bound, 32))
+    widths = _allocations(h)
+    bits, at, used = int.from_bytes(body, "big"), 0, 0
+    for band, width in enumerate(widths):
+        for _ in range(h.channels if band < h.bound else 1):
+            value = bits >> max(0, 8 * len(body) - at - width) & (1 << width) - 1
+            # A shared allocation has scale factors for each channel.
+            used += (1 if band < h.bound else h.channels) if value else 0
+            at += width
+    return at + 2 * used
+
+
+def checksum_holds(h: Header, frame: bytes) -> bool:
+    body = frame[6 : 6 + 96]
+    n = protected_bits(h, body)
+    if n > 8 * (len(frame) - 6):
+        return False
+    part = frame[2:4] + frame[6 : 6 + -(-n // 8)]
+    return _sum(part, 16 + n) == struct.unpack(">H", frame[4:6])[0]
 
 
 @dataclass
@@ -116,6 +170,12 @@ class Stream:
     skipped: int = 0  # bytes that were neither tag nor frame
     tags: dict[str, str] = field(default_factory=dict)
     table: dict[str, int] = field(default_factory=dict)  # frames and bytes by the variable-bitrate table
+    seek: list[tuple[int, int]] = field(default_factory=list)  # (sample, bytes from the table's frame) by that table
+
+    def offset_at(self, sample: int) -> int | None:
+        """The offset of the frame that holds a sample; None beyond the stream."""
+        each = self.samples // len(self.offsets) if self.offsets else 0
+        return self.offsets[sample // each] if 0 <= sample < self.samples else None
 
     @property
     def seconds(self) -> Fraction:
@@ -131,56 +191,89 @@ def _id3(data: bytes, out: Stream) -> int:
     if data[:3] != b"ID3" or len(data) < 10:
         return 0
     end = min(len(data), 10 + _syncsafe(data[6:10]) + (10 if data[5] & 16 else 0))
-    at = 10
-    while at + 10 <= end and data[at : at + 4].isalnum():
-        size = _syncsafe(data[at + 4 : at + 8]) if data[3] >= 4 else struct.unpack(">I", data[at + 4 : at + 8])[0]
-        body = data[at + 10 : min(end, at + 10 + size)]
+    version, at = data[3], 10
+    if data[5] & 0x40 and version >= 3 and len(data) >= 14:
+        # An extended header counts itself in version 4, not in version 3.
+        at += _syncsafe(data[10:14]) if version >= 4 else 4 + struct.unpack(">I", data[10:14])[0]
+    # Version 2 has names of three letters and sizes of three bytes.
+    n, lead = (3, 6) if version == 2 else (4, 10)
+    while at + lead <= end and data[at : at + n].isalnum():
+        raw = data[at + n : at + 2 * n]
+        size = _syncsafe(raw) if version >= 4 else int.from_bytes(raw, "big")
+        body = data[at + lead : min(end, at + lead + size)]
         if data[at : at + 1] == b"T" and body:
             code = {0: "latin-1", 1: "utf-16", 2: "utf-16-be", 3: "utf-8"}.get(body[0], "latin-1")
-            out.tags[data[at : at + 4].decode("latin-1")] = body[1:].decode(code, errors="replace").rstrip("\0")
-        at += 10 + size
+            out.tags[data[at : at + n].decode("latin-1")] = body[1:].decode(code, errors="replace").rstrip("\0")
+        at += lead + size
     return end
 
 
 def _tail(data: bytes, start: int, out: Stream) -> int:
-    """Where the frames end: before an ID3v1 and an APEv2 tag."""
+    """Where the frames end: before an ID3v1 and an APEv2 tag. ID3v1 fields go to tags where ID3v2 has none, APE items as APE:key."""
     end = len(data)
     if end - start >= 128 and data[end - 128 : end - 125] == b"TAG":
         end -= 128
-        out.tags.setdefault("TIT2", data[end + 3 : end + 33].decode("latin-1").rstrip("\0 "))
+        text = lambda low, high: data[end + low : end + high].split(b"\0")[0].decode("latin-1").rstrip(" ")
+        own = {"TIT2": text(3, 33), "TPE1": text(33, 63), "TALB": text(63, 93), "TDRC": text(93, 97), "COMM": text(97, 127)}
+        if not data[end + 125] and data[end + 126]:
+            own["TRCK"] = str(data[end + 126])
+        for k, v in own.items():
+            if v:
+                out.tags.setdefault(k, v)
     if end - start >= 32 and data[end - 32 : end - 24] == b"APETAGEX":
-        size, _, flags = struct.unpack("<III", data[end - 20 : end - 8])
+        size, items, flags = struct.unpack("<III", data[end - 20 : end - 8])
+        at, stop = max(start, end - size), end - 32
         end = max(start, end - size - (32 if flags >> 31 else 0))
+        for _ in range(items):
+            mark = data.find(b"\0", at + 8, stop)
+            if mark < 0:
+                break
+            length, kind = struct.unpack("<II", data[at : at + 8])
+            # Binary items have no text.
+            if not kind & 2:
+                out.tags["APE:" + data[at + 8 : mark].decode("latin-1")] = data[mark + 1 : mark + 1 + length].decode("utf-8", errors="replace")
+            at = mark + 1 + length
     return end
 
 
 def _vbr(data: bytes, at: int, h: Header, out: Stream) -> bool:
-    """Whether the frame at `at` is an Xing, Info or VBRI table."""
-    body = at + 4 + 2 * h.checked + h.side
-    for p in (body, at + 4 + h.side):
-        if h.layer == 3 and data[p : p + 4] in (b"Xing", b"Info"):
-            flags, q = struct.unpack(">I", data[p + 4 : p + 8])[0], p + 8
+    """Whether the frame at `at` is an Xing, Info or VBRI table; its counts and seek points go to the stream."""
+    if h.layer != 3:
+        return False
+    frame = data[at : at + h.size]
+    for p in (4 + 2 * h.checked + h.side, 4 + h.side):
+        if frame[p : p + 4] in (b"Xing", b"Info") and len(frame) >= p + 8:
+            flags, q = struct.unpack(">I", frame[p + 4 : p + 8])[0], p + 8
             for bit, name in ((1, "frames"), (2, "bytes")):
-                if flags & bit:
-                    out.table[name] = struct.unpack(">I", data[q : q + 4])[0]
+                if flags & bit and len(frame) >= q + 4:
+                    out.table[name] = struct.unpack(">I", frame[q : q + 4])[0]
                     q += 4
+            if flags & 4 and len(frame) >= q + 100:
+                whole = out.table.get("frames", 0) * h.samples
+                out.seek = [(k * whole // 100, x * out.table.get("bytes", 0) // 256) for k, x in enumerate(frame[q : q + 100])]
+                q += 100
+            if flags & 8 and len(frame) >= q + 4:
+                out.table["quality"] = struct.unpack(">I", frame[q : q + 4])[0]
             return True
-    p = at + 36
-    if h.layer == 3 and data[p : p + 4] == b"VBRI" and len(data) >= p + 18:
-        out.table["bytes"], out.table["frames"] = struct.unpack(">II", data[p + 10 : p + 18])
+    if frame[36:40] == b"VBRI" and len(frame) >= 62:
+        out.table["quality"], out.table["bytes"], out.table["frames"], n, scale, width, each = struct.unpack(">HIIHHHH", frame[44:62])
+        total = 0
+        for k in range(min(n, (len(frame) - 62) // max(1, width))):
+            out.seek.append((k * each * h.samples, total))
+            total += int.from_bytes(frame[62 + k * width : 62 + (k + 1) * width], "big") * scale
         return True
     return False
 
 
-_SUMS: dict[bytes, int] = {}
+_SUMS: dict[tuple[bytes, int], int] = {}
 
 
-def _sum(data: bytes) -> int:
-    if data not in _SUMS:
+def _sum(data: bytes, n: int) -> int:
+    if (data, n) not in _SUMS:
         if len(_SUMS) > 10_000:
             _SUMS.clear()
-        _SUMS[data] = crc16(data)
-    return _SUMS[data]
+        _SUMS[data, n] = crc16_bits(data, n)
+    return _SUMS[data, n]
 
 
 def parse(data: bytes) -> Stream:
@@ -203,7 +296,7 @@ def parse(data: bytes) -> Stream:
             at, synced = to, False
             continue
         synced = True
-        if h.checked and h.layer == 3 and _sum(data[at + 2 : at + 4] + data[at + 6 : at + 6 + h.side]) != struct.unpack(">H", data[at + 4 : at + 6])[0]:
+        if h.checked and not checksum_holds(h, data[at : at + h.size]):
             out.bad_checksums += 1
         if kind is None:
             kind, out.hertz = h.kind, h.hertz
