@@ -7,8 +7,9 @@ steps of `STEP`: from 0.75 for a shingle in all texts to 6.25 for one in at most
 The reference for df and N is the corpus with each group of near copies counted once: otherwise the shingles that the copies of a large group share
 would be frequent by themselves, weigh little, and a few changed words would part the group. A text belongs to the reference if it has the
 least id among the texts that share any of `FIRST_BANDS` bands of `ROWS` plain minimum hashes with it. df is counted over all rows in a sketch of
-2^20 counters, and the rows outside the reference, whose texts are read again, are taken off. The sketch's error is the mean number of
-shingles a document has over 2^20, a share of N that does not change with the input and lies below `RARE` for documents of 2,000 words.
+2^19 counters, and the rows outside the reference, whose texts are read again, are taken off. The sketch's error is the mean number of
+shingles a document has over 2^19, a share of N that does not change with the input and lies below `RARE` for documents of 1,000 words on
+average. The driver gets the counters above a share of `RARE` / 2 alone, so at most 2 / `RARE` for each shingle of a mean document.
 
 Consistent weighted sampling draws, for each of `BANDS` x `ROWS` hash functions, Gamma(2, 1) variables r and c and a
 uniform beta per shingle (by a table of 2^16 draws for each weight; in sampling alone tf is rounded down to a power of two) and keeps the shingle
@@ -47,7 +48,7 @@ from docflow.llm.common import SMALL_ROWS, chunks, col, discard, materialise, sp
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS, FIRST_BANDS = 16, 3, 6
-SKETCH_BITS, RARE, STEP = 20, 0.002, 0.25
+SKETCH_BITS, RARE, STEP = 19, 0.002, 0.25
 SMALL, BLOCK, BLOCK_BYTES, LEAST_EQUAL = 8, 512, 4 << 20, 26
 _TABLE_BITS = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -236,8 +237,8 @@ def _small(batches, column="text", rows=20_000):
             yield b.slice(k, rows)
 
 
-def _sketch(frame: DataFrame) -> tuple[np.ndarray, int]:
-    """(document frequencies by counter, documents) of the texts, each counted `times`; fixed-size sketches are summed, the driver gets 2^20 numbers."""
+def _sketch(frame: DataFrame) -> DataFrame:
+    """(k, n): document frequencies by counter, and the number of documents as k = -1, of the texts, each counted `times`."""
 
     def run(batches):
         counts, docs = np.zeros(1 << SKETCH_BITS, dtype=np.int64), 0
@@ -247,14 +248,10 @@ def _sketch(frame: DataFrame) -> tuple[np.ndarray, int]:
             counts += np.bincount(_counter(shingle), times[of], minlength=len(counts)).astype(np.int64)
             docs += int(times[np.unique(of)].sum())
         at = np.flatnonzero(counts)
-        if docs:
+        if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(counts[at], docs))], ["k", "n"])
 
-    found = frame.select("text", "times").mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    own = found[found.k >= 0]
-    counts[own.k.to_numpy()] = own.n.to_numpy()
-    return counts, int(found.n[found.k < 0].sum())
+    return frame.select("text", "times").mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
 
 
 def _sampled(frame: DataFrame, weights=None) -> DataFrame:
@@ -322,14 +319,20 @@ def _with_texts(frame: DataFrame, ids: DataFrame) -> DataFrame:
 
 def fit(frame: DataFrame, kept: list[str]) -> Weights:
     """Weights by the document frequencies of the reference (see the module); frame: id, text."""
-    counts, docs = _sketch(frame.select("text", F.lit(1).cast("long").alias("times")))
+    whole = materialise(_sketch(frame.select("text", F.lit(1).cast("long").alias("times"))), "near-sketch", kept)
     nodes = materialise(_nodes(_sampled(frame)), "near-first", kept)
     # The least text of all its buckets.
     leaders = _keyed(nodes).groupBy("key").agg(F.min("id").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("led")).where(F.col("led") >= FIRST_BANDS)
     times = nodes.select("id", "n").join(leaders, "id", "left").select("id", (F.col("n") - F.when(F.col("led").isNull(), 0).otherwise(1)).alias("times"))
     copies = materialise(times.where("times > 0"), "near-copies", kept)
-    less, fewer = _sketch(_with_texts(frame, copies))
-    return Weights(counts - less, docs - fewer)
+    less = _sketch(_with_texts(frame, copies))
+    net = materialise(whole.unionByName(less.select("k", (-F.col("n")).alias("n"))).groupBy("k").agg(F.sum("n").alias("n")), "near-sketch", kept)
+    row = net.where("k < 0").first()
+    docs = max(1, row["n"] if row else 1)
+    found = net.where((F.col("k") >= 0) & (F.col("n") > F.lit(RARE / 2 * docs))).toPandas()
+    counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    counts[found.k.to_numpy()] = found.n.to_numpy()
+    return Weights(counts, docs)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
