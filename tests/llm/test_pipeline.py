@@ -47,3 +47,24 @@ def test_empty_corpus(spark, tmp_path):
     for name in ("documents", "benchmark"):
         table(spark, str(tmp_path / "full"), name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert p.run(spark, str(tmp_path)).count() == 0
+
+
+def test_nulls_repeats_and_clashing_names(spark, tmp_path):
+    """Null ids, repeated ids and rows, and columns that the operators use inside."""
+    rng = random.Random(8)
+    prose = lambda n, s=("the", "ing", "wh", "er", "on"): " ".join("".join(rng.choice(s) for _ in range(3)) for _ in range(n))
+    rows = [(k, prose(60), "en", "s", 1) for k in range(40)] + [(k, prose(60, ("sch", "ung", "ein", "ie")), "de", "s", 1) for k in range(40, 80)]
+    a, b = rows[3][1], prose(50)
+    rows += [(None, a, "en", "s", 1), (None, b, None, None, None), (90, b, "en", "s", 1), (90, b, "en", "s", 1), (91, prose(60), "en", "r", 1), (91, prose(60), "en", "s", 2), (92, None, "en", "s", 1)]
+    extra = ["id", "text_", "carry", "spans", "label", "class_id", "key", "digest", "sample", "rid", "n", "t", "l", "h"]
+    df = spark.createDataFrame([(*r, *["x"] * len(extra)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, prose(40))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = table(spark, str(tmp_path), "documents")
+    for name, stage in p.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == df.columns, name
+    got = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(k for k, _ in got if k is not None) == [*range(80), 90, 91] and sorted(t for k, t in got if k is None) == sorted([a, b])
+    assert dict(got)[91] == min(r[1] for r in rows if r[0] == 91)
+    assert p.run(spark, str(tmp_path)).count() == len(got)

@@ -55,3 +55,19 @@ def test_frames(spark, library):
     back = {r.doc_id: r.text for r in b.decode(b.encode(df)).collect()}
     assert back == {k: t or "" for k, t in enumerate(texts)}
     assert b.encode(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_query(spark, tmp_path, library, empty):
+    """The registered query against the library, over null, empty, repeated and very long texts, null ids and clashing names."""
+    texts = [None, "", "The cat", "é 你 😀", "one two  three\n" * 20_000, "x" * 6_000]
+    rows = [(k, t, "n", 1) for k, t in enumerate(texts)] + [(2, "The cat", "n", 2), (None, "The cat", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, n_tokens int")
+    (df.limit(0) if empty else df).write.parquet(str(tmp_path / "documents.parquet"))
+    out = b.op3_sentencepiece(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    want = []
+    for k, t, *_ in rows:
+        ids = library.encode(t or "")
+        want.append((k, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()))
+    assert sorted(map(repr, map(tuple, out.collect()))) == ([] if empty else sorted(map(repr, want)))

@@ -43,3 +43,19 @@ def test_frames(spark):
         counts = [brute(w, first, further) for w in (texts[r.doc_id] or "").split()]
         assert (r.n_words, r.n_tokens, r.n_unknown) == (len(counts), sum(1 if n is None else n for n in counts), counts.count(None))
     assert t.count_tokens(df.limit(0)).count() == 0
+
+
+def test_query(spark, tmp_path):
+    """The registered query against greedy matching, over null, empty and repeated texts, null ids and clashing names; an empty table."""
+    texts = [None, "", "The cat sat", "\U000e0001 x", "a b " * 30_000]
+    rows = [(k, t, 1, "t") for k, t in enumerate(texts)] + [(2, texts[2], 2, "t"), (None, texts[2], None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_words int, n_tokens string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    first, further = t.vocabulary(_model_bytes(None))
+    want = []
+    for k, x, *_ in rows:
+        counts = [brute(w, first, further) for w in (x or "").split()]
+        want.append((k, len(counts), sum(1 if n is None else n for n in counts), counts.count(None)))
+    assert sorted(map(repr, map(tuple, t.op5_token_counts(spark, str(tmp_path)).collect()))) == sorted(map(repr, want))
+    df.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert t.op5_token_counts(spark, str(tmp_path / "none")).count() == 0
