@@ -409,7 +409,7 @@ def _linked(large: DataFrame, open_: DataFrame, nodes: DataFrame, texts: DataFra
     form a cluster. Its nodes outside the most frequent class meet all its nodes, in blocks of about `BLOCK` nodes and `BLOCK_BYTES` of text: by
     their samples, then, where these allow a link, by their texts. A task gives at most one link for a node and another class.
     """
-    rows = large.join(open_, "key").select("cluster", "id", "label").distinct()
+    rows = spread_join(large.drop("n"), open_, "key", "n", ["id"], per_task=1_000).select("cluster", "id", "label").distinct()
     rows = materialise(rows.join(nodes.select("id", "size", "sample"), "id"), "near-rest", kept)
     per = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
     blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES, F.lit(1.0))).cast("int")
@@ -472,27 +472,27 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     nodes = materialise(_nodes(signed), "near-nodes", kept)
     keyed = _keyed(nodes)
     buckets = materialise(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-buckets", kept)
-    members = materialise(keyed.join(buckets, "key"), "near-members", kept)
+    members = materialise(spread_join(keyed, buckets.withColumn("rows", F.col("n")), "key", "rows", ["id"], per_task=1_000), "near-members", kept)
     few = members.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     few = few.select("ids", F.explode("ids").alias("a")).select("a", F.explode("ids").alias("b")).where("a < b")
     crowded = members.where(F.col("n") > SMALL)
-    central = crowded.join(crowded.groupBy("id").agg(F.sum("n").alias("near")), "id").groupBy("key").agg(F.max_by("id", F.struct("near", -F.col("id"))).alias("leader"))
-    many = crowded.join(central, "key").where("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+    central = crowded.join(crowded.groupBy("id").agg(F.sum("n").alias("near")), "id").groupBy("key").agg(F.max_by("id", F.struct("near", -F.col("id"))).alias("leader"), F.first("n").alias("n"))
+    many = spread_join(crowded.select("id", "key"), central, "key", "n", ["id"], per_task=1_000).where("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
     pairs = materialise(few.unionByName(many).distinct(), "near-pairs", kept)
     wanted = materialise(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "near-wanted", kept)
     texts = _with_texts(frame, wanted)
     texts = materialise(texts.distinct() if _repeats(signed) else texts, "near-texts", kept)
     edges = materialise(_verified(pairs, texts, weights, threshold), "near-edges", kept)
     labels = components(edges, kept)
-    large = crowded.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    open_ = materialise(large.groupBy("key").agg(F.min("label").alias("cluster"), F.max("label").alias("m")).where("cluster < m").select("key", "cluster"), "near-open", kept)
+    large = crowded.join(labels, "id", "left").select("key", "n", "id", F.coalesce("label", "id").alias("label"))
+    open_ = materialise(large.groupBy("key").agg(F.min("label").alias("cluster"), F.max("label").alias("m"), F.first("n").alias("n")).where("cluster < m").select("key", "cluster", "n"), "near-open", kept)
     if not open_.isEmpty():
         more = materialise(_linked(large, open_, nodes, texts, weights, threshold, kept), "near-edges", kept)
         if not more.isEmpty():
             labels = components(edges.unionByName(more), kept)
     named = materialise(nodes.select("digest", "id", "n").join(labels, "id", "left").select("digest", "n", F.coalesce("label", "id").alias("class_id")), "near-classes", kept)
     alone = signed.where("digest is null or id is null").select("id", F.col("id").alias("class_id"))
-    grouped = spread_join(signed.where("digest is not null and id is not null").select("digest", "id"), named, "digest", "n", ["id"], per_task=200_000).select("id", "class_id")
+    grouped = spread_join(signed.where("digest is not null and id is not null").select("digest", "id"), named, "digest", "n", ["id"], per_task=10_000).select("id", "class_id")
     out = materialise(grouped.unionByName(alone), "near-result")
     discard(docs.sparkSession, kept)
     return out.withColumnRenamed("id", id_col)
