@@ -33,6 +33,22 @@ def catalog_tables(spark: SparkSession, schema: str | None = None) -> set[str]:
     return {t.name.upper() for t in spark.catalog.listTables(schema)}
 
 
+def use_schema(spark: SparkSession, name: str) -> str:
+    """Make a schema the current one; its name must be an identifier and the schema must exist."""
+    schema = validate_identifier(name)
+    if not spark.catalog.databaseExists(schema):
+        raise ContractError(f"there is no schema {schema}")
+    spark.catalog.setCurrentDatabase(schema)
+    return schema
+
+
+def require_output(spark: SparkSession, name: str) -> DataFrame:
+    """The table a stage must have left behind."""
+    if not spark.catalog.tableExists(name):
+        raise ContractError(f"the stage did not create {name}")
+    return spark.table(name)
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], what: str = "input") -> DataFrame:
     missing = sorted(set(columns) - set(df.columns))
     if missing:

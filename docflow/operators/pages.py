@@ -7,13 +7,14 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docflow.operators.snapshots import order_and_count, running_number
 
 #: Fixed values of the render and quality rules.
 BASE_ZOOM = 200 / 72
 LEAST_SHORT_EDGE, MOST_LONG_EDGE = 1024, 2400
-LEAST_PIXELS, WHITE_SHARE, LEAST_STDDEV = 500, 0.995, 8.0
+LEAST_PIXELS, WHITE_SHARE, LEAST_STDDEV, WHITE_FROM = 500, 0.995, 8.0, 250
 
 
 def wrapper_depth(paths: DataFrame, column: str = "path") -> int:
@@ -29,6 +30,27 @@ def wrapper_depth(paths: DataFrame, column: str = "path") -> int:
     return depth
 
 
+def members(entries: DataFrame) -> DataFrame:
+    """(masterindex_id, zip_path, path) of container entries (zip_path, path, is_dir), for `inventory`.
+
+    Folders that all PDF paths of a container share are wrappers and skipped, while each PDF keeps a folder and its name. The next folder names the
+    master index; a folder without a file stays with a null path.
+    """
+    from docflow.functions.text import is_pdf
+
+    parts = F.split(F.trim(F.col("path"), F.lit("/")), "/")
+    own = entries.where(F.trim(F.col("path"), F.lit("/")) != "").select("zip_path", "path", F.coalesce("is_dir", F.lit(False)).alias("is_dir"), parts.alias("parts"))
+    # Arrays sort by their parts, so what the least and the greatest share, all share.
+    pdfs = own.where(~F.col("is_dir") & is_pdf("path")).groupBy("zip_path").agg(F.min(F.size("parts")).alias("least"), F.min("parts").alias("low"), F.max("parts").alias("high"))
+    free = F.greatest(F.col("least") - 2, F.lit(0))
+    differ = F.array_position(F.transform(F.slice(F.arrays_zip("low", "high"), 1, free), lambda x: x["low"] == x["high"]), False)
+    wrapped = pdfs.select("zip_path", F.slice("low", 1, F.when(differ > 0, (differ - 1).cast("int")).otherwise(free)).alias("prefix"))
+    joined = own.join(wrapped, "zip_path", "left").withColumn("prefix", F.coalesce("prefix", F.array().cast("array<string>")))
+    depth, n = F.size("prefix"), F.size("parts")
+    inside = joined.where((n > depth) & (F.slice("parts", 1, depth) == F.col("prefix")) & ((n >= depth + 2) | F.col("is_dir")))
+    return inside.select(F.element_at("parts", depth + 1).alias("masterindex_id"), "zip_path", F.when(~F.col("is_dir"), F.col("path")).alias("path"))
+
+
 def inventory(members: DataFrame) -> DataFrame:
     """PDF members of containers, numbered within their master index; a master index without a PDF stays as `missing_pdf`.
 
@@ -70,6 +92,34 @@ def quality_status(width: Column, height: Column, white_share: Column, stddev: C
     )
 
 
+def image_quality(images: DataFrame, decode: Callable[[bytes], Any]) -> DataFrame:
+    """quality_status, width, height and file_size of images (their columns, with `content`), by pixel statistics.
+
+    `decode` gives the grey values of an image as a two-dimensional array of bytes. What it cannot decode is corrupt, without sizes.
+    """
+    kept = [f for f in images.schema.fields if f.name != "content"]
+    fields = T.StructType([*kept, *T.StructType.fromDDL("width int, height int, file_size long, white_share double, stddev double").fields])
+
+    def run(frames: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        for frame in frames:
+            found = []
+            for content in frame["content"]:
+                try:
+                    grey = np.asarray(decode(bytes(content)))
+                    found.append((grey.shape[1], grey.shape[0], len(content), float((grey >= WHITE_FROM).mean()) if grey.size else 1.0, float(grey.std()) if grey.size else 0.0))
+                except Exception:  # noqa: BLE001 - an image that cannot be read is a finding
+                    found.append((None,) * 5)
+            more = pd.DataFrame(found, columns=["width", "height", "file_size", "white_share", "stddev"])
+            yield pd.concat([frame.drop(columns=["content"]).reset_index(drop=True), more.astype({"width": "Int32", "height": "Int32", "file_size": "Int64"})], axis=1)
+
+    found = images.mapInPandas(run, fields)
+    status = quality_status(F.col("width"), F.col("height"), F.col("white_share"), F.col("stddev"), F.lit(False))
+    return found.withColumn("quality_status", status).drop("white_share", "stddev")
+
+
 def image_name(path: Column, order: Column, page: Column) -> Column:
     from docflow.functions.text import file_stem, safe_folder_name
 

@@ -30,7 +30,7 @@ def audit_sample(pool: DataFrame, stratum: str, key: list[str], seed: int = 42,
     sizes = pool.groupBy(stratum).agg(F.count(F.lit(1)).alias("pool_size"))
     w = Window.partitionBy(stratum).orderBy("__h", *key)
     ranked = pool.withColumn("__h", digest).withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= config.audit_most)
-    own = ranked.join(F.broadcast(sizes), stratum).withColumn("sample_size", sample_size(F.col("pool_size"), config)).where("__r <= sample_size")
+    own = ranked.join(sizes, stratum).withColumn("sample_size", sample_size(F.col("pool_size"), config)).where("__r <= sample_size")
     p = F.col("sample_size").cast("double") / F.col("pool_size")
     return own.withColumn("sampling_probability", p).withColumn("sampling_weight", F.when(p > 0, 1 / p)).drop("__h", "__r", "sample_size", "pool_size")
 

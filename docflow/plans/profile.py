@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docflow.config import DEFAULT, Config
@@ -22,6 +22,11 @@ def schemas(tables: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
     return [(name, c, kind) for name, df in sorted(tables.items()) for c, kind in df.dtypes]
 
 
+def catalog_schemas(spark: SparkSession, schema: str | None = None) -> list[tuple[str, str, str]]:
+    """(table, column, type) of all tables of a catalog schema, by the names in the catalog."""
+    return schemas({t.name: spark.table(f"{schema}.{t.name}" if schema else t.name) for t in spark.catalog.listTables(schema)})
+
+
 def vocabulary(events: DataFrame) -> DataFrame:
     return events.groupBy("state", "component", "altered_by").agg(
         _n().alias("n_rows"), F.countDistinct("stack_id").alias("n_stacks"), F.min("entry_id").alias("min_entry_id"), F.max("entry_id").alias("max_entry_id"), F.min("entry_time").alias("first_seen"), F.max("entry_time").alias("last_seen")
@@ -111,6 +116,11 @@ def snapshot_or_delta(processes: DataFrame, page_map: DataFrame, fields: DataFra
     return flagged.agg(_n().alias("n_pairs"), both.alias("both"), F.count_if(c & ~n).alias("current_only"), F.count_if(~c & n).alias("next_only"), F.count_if(~c & ~n).alias("neither"), percent(both, _n()).alias("repeated_pct"))
 
 
+def qa_list(qa: DataFrame, top: int = 100) -> DataFrame:
+    """The first QA rows in order of all their columns. The limit is the report's."""
+    return qa.orderBy(*[F.col(c).asc_nulls_last() for c in qa.columns]).limit(top)
+
+
 def verifiers(documents: DataFrame) -> DataFrame:
     return documents.groupBy("verified_by").agg(_n().alias("n_rows"), F.countDistinct("stack_id").alias("n_stacks"), F.min("entry_time").alias("first_seen"), F.max("entry_time").alias("last_seen"))
 

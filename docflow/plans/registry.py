@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docflow.functions import text
 from docflow.operators import checks, pages, review, screening
 from docflow.operators.snapshots import first_by, last_by, order_and_count, ranked_one, segments
-from docflow.plans import profile, workflow
+from docflow.plans import page_pipeline, profile, workflow
+from docflow.sources import files
 from docflow.sources.adapters import logical, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,20 +34,47 @@ class _Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """One plan for each stage, so that the planner sees equal exchanges and runs them once."""
+        if name not in self.kept:
+            self.kept[name] = make()
+        return self.kept[name]
+
     def completed(self) -> DataFrame:
-        return workflow.completed_stacks(self.event)
+        return self._once("completed", lambda: workflow.completed_stacks(self.event))
 
     def labels(self) -> DataFrame:
-        return workflow.document_labels(self.event, self.document, self.field, self.code_lookup, self.qa, self.completed())
+        return self._once("labels", lambda: workflow.document_labels(self.event, self.document, self.field, self.code_lookup, self.qa, self.completed()))
 
     def page_labels(self) -> DataFrame:
-        return workflow.page_labels(self.page_map, self.labels())
+        return self._once("page_labels", lambda: workflow.page_labels(self.page_map, self.labels()))
 
     def changes(self) -> DataFrame:
-        return workflow.grouping_changes(self.event, self.page_map, self.completed(), self.labels())
+        return self._once("changes", lambda: workflow.grouping_changes(self.event, self.page_map, self.completed(), self.labels()))
 
     def truth(self) -> DataFrame:
-        return review.ground_truth(self.review)
+        return self._once("truth", lambda: review.ground_truth(self.review))
+
+    def csv_file(self) -> DataFrame:
+        """Customers written as CSV and read back as text."""
+        path = f"{files.scratch_folder(self.spark)}/customer"
+        files.write_csv(self.raw("customer").select("c_custkey", "c_name", F.when(F.col("c_custkey") % 3 == 0, "n/a").when(F.col("c_custkey") % 3 == 1, 'say "x", y').alias("c_note")), path)
+        return files.read_csv(self.spark, path, ["c_custkey", "c_name", "c_note"])
+
+    def json_file(self) -> DataFrame:
+        """Events appended to a JSON-lines log in two steps, of which entries without a key are no entries; the last entry of each user."""
+        path = f"{files.scratch_folder(self.spark)}/log"
+        for kind in ("view", "click"):
+            files.append_json(self.raw("events").where(F.col("event_type") == kind).select(F.when(F.col("user_id") % 5 != 0, F.col("user_id")).alias("user_id"), "event_id", "event_type"), path)
+        rows = files.read_json_log(self.spark, path, T.StructType.fromDDL("user_id long, event_id long, event_type string"), ["user_id"])
+        return ranked_one(rows, ["user_id"], [F.desc("event_id")]).select("user_id", "event_id", "event_type")
+
+    def zip_entries(self) -> DataFrame:
+        """Entries of two containers with a wrapper folder, one folder for each source, and folders without files."""
+        n = F.col("doc_id")
+        name = F.concat(F.lit("wrap/"), F.col("source"), F.lit("/sub"), (n % 3).cast("string"), F.lit("/"), n.cast("string"), F.when(n % 4 == 0, ".PDF").when(n % 4 == 1, ".txt").otherwise(".pdf"))
+        empty = n % 11 == 0
+        return self.raw("documents").select(F.concat(F.lit("z"), (n % 2).cast("string"), F.lit(".zip")).alias("zip_path"), F.when(empty, F.concat(F.lit("wrap/"), "source", F.lit("_empty/"))).otherwise(name).alias("path"), empty.alias("is_dir"))
 
 
 QUERIES: dict[str, Query] = {}
@@ -178,6 +207,7 @@ _add("lookup_duplicates", lambda t: profile.lookup_duplicates_all(t.code_lookup)
 _add("lookup_match", lambda t: profile.lookup_match(t.field, t.code_lookup), f"WITH {_LAB}, s AS (SELECT DISTINCT upper(trim(field_value, ' ')) AS c FROM lab WHERE trim(field_value, ' ') <> ''), m AS (SELECT c, c IN (SELECT upper(trim(label_code, ' ')) FROM {_LK} l WHERE trim(label_code, ' ') <> '') AS k FROM s) SELECT count(*) AS n_observed_codes, count(*) FILTER (WHERE k) AS matched_codes, count(*) FILTER (WHERE NOT k) AS unmatched_codes FROM m")
 _add("coverage_by_state", lambda t: profile.coverage_by_state(t.event, t.page_map, t.field), f"WITH {_LAB}, c AS (SELECT DISTINCT {_E5}, 1 AS one FROM lab WHERE trim(field_value, ' ') <> ''), e AS (SELECT DISTINCT stack_id, entry_id, state, component FROM {_EV} v), d AS (SELECT DISTINCT {_E5} FROM {_PM} p), r AS (SELECT e.state, e.component, c.one FROM d JOIN e ON e.stack_id = d.stack_id AND e.entry_id = d.entry_id LEFT JOIN c ON c.stack_id = d.stack_id AND c.process_id = d.process_id AND c.doc_id = d.doc_id AND c.subdoc_idx = d.subdoc_idx AND c.entry_id = d.entry_id) SELECT state, component, count(*) AS n_snapshots, count(one) AS with_code, count(*) - count(one) AS without_code, round(100.0 * count(one) / count(*), 2) AS coverage_pct FROM r GROUP BY ALL")
 _add("snapshot_vs_delta", lambda t: profile.snapshot_or_delta(t.process, t.page_map, t.field), f"WITH {_LAB}, c AS (SELECT DISTINCT {_E5} FROM lab WHERE trim(field_value, ' ') <> ''), pr AS (SELECT *, lead(entry_id) OVER (PARTITION BY stack_id, process_id ORDER BY entry_id) AS nx FROM (SELECT DISTINCT stack_id, process_id, entry_id FROM {_PR} q) z), d AS (SELECT DISTINCT {_E5} FROM {_PM} p), s AS (SELECT a.*, pr.nx FROM pr JOIN d a USING (stack_id, process_id, entry_id) JOIN d b ON b.stack_id = a.stack_id AND b.process_id = a.process_id AND b.doc_id = a.doc_id AND b.subdoc_idx = a.subdoc_idx AND b.entry_id = pr.nx), f AS (SELECT x.doc_id IS NOT NULL AS x, y.doc_id IS NOT NULL AS y FROM s LEFT JOIN c x ON x.stack_id = s.stack_id AND x.process_id = s.process_id AND x.doc_id = s.doc_id AND x.subdoc_idx = s.subdoc_idx AND x.entry_id = s.entry_id LEFT JOIN c y ON y.stack_id = s.stack_id AND y.process_id = s.process_id AND y.doc_id = s.doc_id AND y.subdoc_idx = s.subdoc_idx AND y.entry_id = s.nx) SELECT count(*) AS n_pairs, count(*) FILTER (WHERE x AND y) AS \"both\", count(*) FILTER (WHERE x AND NOT y) AS current_only, count(*) FILTER (WHERE y AND NOT x) AS next_only, count(*) FILTER (WHERE NOT x AND NOT y) AS neither, round(100.0 * count(*) FILTER (WHERE x AND y) / nullif(count(*), 0), 2) AS repeated_pct FROM f")
+_add("qa_list", lambda t: profile.qa_list(t.qa), f"SELECT id FROM {_QA} q ORDER BY id NULLS LAST LIMIT 100")
 _add("verifier_vocabulary", lambda t: profile.verifiers(t.document), f"SELECT verified_by, count(*) AS n_rows, count(DISTINCT stack_id) AS n_stacks, min(entry_time) AS first_seen, max(entry_time) AS last_seen FROM {_DOC} d GROUP BY 1")
 _add("verifier_match", lambda t: profile.verifier_match(t.document, t.qa), f"WITH j AS (SELECT trim(d.verified_by, ' ') <> '' AS v, q.id IS NOT NULL AS k FROM {_DOC} d LEFT JOIN {_QA} q ON upper(trim(q.id, ' ')) = upper(trim(d.verified_by, ' '))) SELECT count(*) AS n_rows, count(*) FILTER (WHERE v) AS with_verifier, count(*) FILTER (WHERE k) AS by_known_qa, count(*) FILTER (WHERE v AND NOT k) AS by_others FROM j")
 _add("code_metadata", lambda t: profile.code_metadata(t.field), f"WITH {_LAB} SELECT altered_by, show_in_verifier, action, quality, rating, count(*) AS n_rows, count(DISTINCT stack_id) AS n_stacks FROM lab GROUP BY ALL")
@@ -190,6 +220,8 @@ _add("evidence_categories", lambda t: profile.evidence(t.event, t.document, t.fi
 _add("id_normalisation_risk", lambda t: profile.image_ids(t.page_map), f"SELECT count(*) AS n_rows, count(*) FILTER (WHERE image_id IS NOT NULL AND try_cast(image_id AS DECIMAL(38, 0)) IS NULL) AS non_numeric_rows, count(DISTINCT image_id) AS distinct_texts, count(DISTINCT try_cast(image_id AS DECIMAL(38, 0))) AS distinct_numbers FROM {_PM} p")
 _add("repeated_stages", lambda t: profile.repeated_stages(t.event), f"SELECT state, component, count(*) AS n_groups, count(*) FILTER (WHERE n >= 2) AS repeated_groups, max(n) AS max_occurrences FROM (SELECT stack_id, state, component, count(DISTINCT entry_id) AS n FROM {_EV} e GROUP BY ALL) g GROUP BY ALL")
 _add("duplicate_grain_top", lambda t: profile.repeated_keys(t.changes(), ["stack_id", "process_id", "image_id"]), f"{_TO1}, {_T3} SELECT stack_id, process_id, image_id, count(*) AS n_rows FROM t3 GROUP BY ALL HAVING count(*) >= 2 ORDER BY n_rows DESC, stack_id NULLS LAST, process_id NULLS LAST, image_id NULLS LAST LIMIT 500")
+_add("duplicate_entry_top", lambda t: profile.repeated_keys(t.changes(), ["stack_id", "process_id", "export_entry_id"]), f"{_TO1}, {_T3} SELECT stack_id, process_id, export_entry_id, count(*) AS n_rows FROM t3 GROUP BY ALL HAVING count(*) >= 2 ORDER BY n_rows DESC, stack_id NULLS LAST, process_id NULLS LAST, export_entry_id NULLS LAST LIMIT 500")
+_add("duplicate_stack_top", lambda t: profile.repeated_keys(t.event, ["stack_id"]), f"SELECT stack_id, count(*) AS n_rows FROM {_EV} e GROUP BY ALL HAVING count(*) >= 2 ORDER BY n_rows DESC, stack_id NULLS LAST LIMIT 500")
 _add("tier_share", lambda t: profile.tier_share(t.event, t.document, t.field, t.qa), f"WITH ev AS {_EV}, {_LAB}, qa AS (SELECT DISTINCT upper(trim(id, ' ')) AS w FROM {_QA} q WHERE trim(id, ' ') <> ''), j AS (SELECT l.stack_id, {_TIER.format(code='l.field_value', qa='qa.w', v='d.verified_by')} AS label_tier FROM lab l SEMI JOIN {_one('ev', 'export', 'last')} x USING (stack_id, entry_id) LEFT JOIN {_DOC} d ON {_EXACT.format(a='l', b='d')} AND d.entry_id = l.entry_id LEFT JOIN qa ON qa.w = upper(trim(d.verified_by, ' ')) WHERE trim(l.field_value, ' ') <> '') SELECT label_tier, count(*) AS n_rows, count(DISTINCT stack_id) AS n_stacks, round(100.0 * count(*) / (SELECT count(*) FROM j), 2) AS share_pct FROM j GROUP BY 1")
 
 # ---- page pipeline --------------------------------------------------------------------------------------------------
@@ -199,7 +231,7 @@ now AS (SELECT * FROM lg SEMI JOIN (SELECT masterindex_id, pdf_path_in_zip, sour
 _REV = "(status IS DISTINCT FROM 'success' OR label IS NOT DISTINCT FROM 'unclear' OR confidence IS NULL OR confidence < 0.6)"
 _add("latest_log", lambda t: screening.latest_results(t.screening), f"WITH {_LATEST} SELECT * REPLACE (sha AS image_sha256) EXCLUDE (sha) FROM now".replace("* REPLACE (sha AS image_sha256) EXCLUDE (sha)", "masterindex_id, pdf_path_in_zip, source_page_number, page_number, sha AS image_sha256, seq, status, label, confidence, actual"))
 _add("json_log", lambda t: ranked_one(t.raw("events").select("user_id", F.col("event_id").alias("seq"), F.from_json("props", "k long")["k"].alias("k")).where("k is not null"), ["user_id"], [F.desc("seq")]), "SELECT user_id, max(event_id) AS seq, arg_max(CAST(props ->> '$.k' AS BIGINT), event_id) AS k FROM events WHERE props ->> '$.k' IS NOT NULL GROUP BY user_id")
-_add("resume_pending", lambda t: screening.pending(t.screening.where("seq % 2 = 0").select(*screening.PAGE_KEY, "page_number"), t.screening), f"WITH {_LATEST} SELECT masterindex_id, pdf_path_in_zip, source_page_number, sha AS image_sha256, page_number FROM lg WHERE seq % 2 = 0 AND page_number IS NOT NULL AND NOT EXISTS (SELECT 1 FROM now n WHERE n.status = 'success' AND n.masterindex_id = lg.masterindex_id AND n.pdf_path_in_zip = lg.pdf_path_in_zip AND n.source_page_number = lg.source_page_number AND n.sha = lg.sha)")
+_add("resume_pending", lambda t: screening.pending(t.screening.select(*screening.PAGE_KEY, "page_number").dropDuplicates(), t.screening), f"WITH {_LATEST} SELECT DISTINCT masterindex_id, pdf_path_in_zip, source_page_number, sha AS image_sha256, page_number FROM lg WHERE page_number IS NOT NULL AND NOT EXISTS (SELECT 1 FROM now n WHERE n.status = 'success' AND n.masterindex_id = lg.masterindex_id AND n.pdf_path_in_zip = lg.pdf_path_in_zip AND n.source_page_number = lg.source_page_number AND n.sha = lg.sha)")
 _NOW3 = f"now3 AS (SELECT s.* FROM {_SC} s JOIN (SELECT masterindex_id, pdf_path_in_zip, page_number, max(seq) AS top FROM {_SC} z GROUP BY ALL) b ON s.masterindex_id = b.masterindex_id AND s.pdf_path_in_zip = b.pdf_path_in_zip AND s.page_number = b.page_number AND s.seq = b.top)"
 _add("positive_pages", lambda t: screening.positive_pages(t.screening), f"WITH {_NOW3} SELECT masterindex_id, string_agg(DISTINCT CAST(page_number AS VARCHAR), ', ' ORDER BY page_number) AS pages, count(DISTINCT page_number) AS n_pages FROM now3 WHERE label = 'target' AND NOT {_REV} GROUP BY 1".replace("string_agg(DISTINCT CAST(page_number AS VARCHAR), ', ' ORDER BY page_number)", "array_to_string(list_sort(list(DISTINCT page_number)), ', ')"))
 _add("human_review", lambda t: screening.review_queue(t.screening), f"WITH {_NOW3} SELECT masterindex_id, pdf_path_in_zip, page_number, status, label, confidence FROM now3 WHERE {_REV}")
@@ -212,6 +244,23 @@ z AS (SELECT *, least(greatest(20, CAST(round_even(n * 0.05, 0) AS BIGINT)), 400
 SELECT masterindex_id, pdf_path_in_zip, source_page_number, sha AS image_sha256, label AS predicted_label, why AS review_reason, CAST(1 AS DOUBLE) AS sampling_probability, CAST(1 AS DOUBLE) AS sampling_weight FROM c WHERE why IS NOT NULL
 UNION ALL SELECT masterindex_id, pdf_path_in_zip, source_page_number, sha, label, CASE label WHEN 'target' THEN 'positive_audit' ELSE 'negative_audit' END, CAST(m AS DOUBLE) / n, 1 / (CAST(m AS DOUBLE) / n) FROM z WHERE r <= m""",
 )
+_SHEET = ", ".join(f"{c if c in ('masterindex_id', 'pdf_path_in_zip', 'source_page_number', 'image_sha256', 'predicted_label', 'review_reason', 'sampling_probability', 'sampling_weight') else 'n.' + c if c in ('page_number', 'confidence', 'status') else 'CAST(NULL AS VARCHAR) AS ' + c}" for c in page_pipeline.REVIEW_COLUMNS)
+_add(
+    "review_workbook",
+    lambda t: page_pipeline.review_workbook(t.screening),
+    f"SELECT {_SHEET} FROM ({ORACLES['review_sample']}) w JOIN (WITH {_LATEST} SELECT masterindex_id, pdf_path_in_zip, source_page_number, sha AS image_sha256, page_number, confidence, status FROM now) n USING (masterindex_id, pdf_path_in_zip, source_page_number, image_sha256)",
+)
+_add("csv_file", lambda t: t.csv_file(), "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_custkey % 3 = 1 THEN 'say \"x\", y' END AS c_note FROM customer")
+_add("json_file", lambda t: t.json_file(), "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events WHERE event_type IN ('view', 'click') AND user_id % 5 <> 0 GROUP BY 1")
+_add(
+    "zip_inventory",
+    lambda t: pages.inventory(pages.members(t.zip_entries())),
+    """WITH e AS (SELECT 'z' || CAST(doc_id % 2 AS VARCHAR) || '.zip' AS zip_path, source || CASE WHEN doc_id % 11 = 0 THEN '_empty' ELSE '' END AS m, doc_id % 11 <> 0 AND doc_id % 4 <> 1 AS pdf,
+  CAST(doc_id AS VARCHAR) || CASE doc_id % 4 WHEN 0 THEN '.PDF' ELSE '.pdf' END AS name, 'wrap/' || source || '/sub' || CAST(doc_id % 3 AS VARCHAR) || '/' AS folder FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY m ORDER BY folder || name, zip_path) AS k, count(*) OVER (PARTITION BY m) AS n FROM e WHERE pdf)
+SELECT m AS masterindex_id, zip_path, folder || name AS pdf_path_in_zip, name AS pdf_filename, CAST(k AS INT) AS pdf_order_in_masterindex, CAST(n AS INT) AS pdf_count_in_masterindex, 'ready' AS status FROM p
+UNION ALL SELECT m, min(zip_path), NULL, NULL, NULL, 0, 'missing_pdf' FROM e WHERE m NOT IN (SELECT m FROM p) GROUP BY m""",
+)
 _GT = f"""gt AS (SELECT *, lower(trim(coalesce(review_status, ''))) AS st, lower(trim(coalesce(predicted_label, ''))) AS pl, lower(trim(coalesce(reviewed_label, ''))) AS rl FROM {_RV} r),
 tr AS (SELECT *, CASE st WHEN 'accepted' THEN CASE WHEN pl IN ('target', 'other', 'unclear') THEN pl END WHEN 'corrected' THEN CASE WHEN rl IN ('target', 'other', 'unclear') THEN rl END END AS ground_truth_label FROM gt)"""
 _KEEP = "masterindex_id, pdf_path_in_zip, page_number"

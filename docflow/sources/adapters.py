@@ -25,7 +25,7 @@ TABLES = {
   'class' || CAST(k AS STRING) AS doc_class, 'file' || CAST(event_id AS STRING) AS export_name, ts AS entry_time,
   CASE (event_id + k) % 8 WHEN 0 THEN 'System' WHEN 1 THEN 'qa_1 ' WHEN 2 THEN ' QA_2' WHEN 3 THEN 'SVC_x' WHEN 4 THEN 'Worker A' WHEN 5 THEN '' WHEN 6 THEN 'other' END AS verified_by,
   CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS last_entry, 'final' AS doc_state, CAST(NULL AS STRING) AS doc_substate
-  FROM {{copies}} WHERE event_type IN ('purchase', 'click') AND k < 3 AND (event_id + k) % 4 <> 3""",
+  FROM {{copies}} WHERE event_type IN ('purchase', 'click') AND k < 3""",
     "field": f"""SELECT {_STACK}, 'P' || CAST(user_id % 3 AS STRING) AS process_id, 'D' || CAST(k % 3 AS STRING) AS doc_id,
   CASE WHEN k % 3 = 2 THEN NULL ELSE CAST((k % 3) % 2 AS INT) END AS subdoc_idx, event_id AS entry_id,
   CASE (event_id + k) % 5 WHEN 0 THEN ' label_code' WHEN 1 THEN 'LABEL_CODE ' WHEN 2 THEN 'Label_Code' WHEN 3 THEN 'label_code' ELSE 'amount' END AS field_name,
@@ -33,17 +33,17 @@ TABLES = {
   CASE event_id % 3 WHEN 0 THEN 'System' ELSE 'worker' END AS altered_by, CAST((event_id + k) % 2 AS INT) AS show_in_verifier,
   CASE event_id % 2 WHEN 0 THEN 'set' ELSE 'fix' END AS action, CAST(NULL AS STRING) AS quality, 'r' || CAST(k AS STRING) AS rating,
   CASE WHEN k >= 3 AND event_id % 2 = 0 THEN ts + INTERVAL 1 HOUR ELSE ts END AS entry_time
-  FROM {{copies}} WHERE event_type IN ('purchase', 'click') AND (k < 3 OR (event_id + k) % 3 = 0)""",
+  FROM {{copies}} WHERE event_type IN ('purchase', 'click')""",
     "page_map": f"""SELECT {_STACK}, 'P' || CAST(user_id % 3 AS STRING) AS process_id,
   'D' || CAST((k + CASE WHEN event_type = 'click' THEN event_id % 2 ELSE 0 END) % 3 AS STRING) AS doc_id,
   CASE WHEN k = 2 THEN NULL ELSE CAST((k % 3) % 2 AS INT) END AS subdoc_idx, event_id AS entry_id,
   CASE WHEN event_id % 13 = 0 AND k = 3 THEN NULL WHEN k = 1 THEN '001' WHEN k = 4 THEN '1' WHEN k = 5 AND event_id % 7 = 0 THEN 'I0' ELSE 'I' || CAST(k AS STRING) END AS image_id,
   CAST(k AS INT) AS seqno, 'page' AS relation, CAST((event_id % 4) * 90 AS INT) AS rotation, ts AS entry_time
-  FROM {{copies}} WHERE event_type IN ('purchase', 'click') AND (event_id + k) % 5 <> 0""",
+  FROM {{copies}} WHERE event_type = 'purchase' AND k <> 4 OR event_type = 'click' AND k <> 2""",
     "process": f"""SELECT {_STACK}, 'P' || CAST(user_id % 3 AS STRING) AS process_id, event_id AS entry_id FROM {{events}} WHERE event_type IN ('purchase', 'click')""",
-    "code_lookup": """SELECT CASE n_nationkey WHEN 0 THEN 'c1 ' WHEN 1 THEN ' C2' WHEN 2 THEN 'C3' WHEN 3 THEN '' WHEN 4 THEN '' ELSE 'C5' END AS label_code,
-  n_name AS category, 'region' || CAST(n_regionkey AS STRING) AS class_name, 'keep' AS action, CAST(NULL AS STRING) AS detail FROM {nation} WHERE n_nationkey < 6""",
-    "qa": """SELECT CASE s_suppkey WHEN 1 THEN 'QA_1' WHEN 2 THEN ' qa_2' WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN 'qa_1 ' ELSE 'SVC_QA' END AS id FROM {supplier} WHERE s_suppkey <= 6""",
+    "code_lookup": """SELECT CASE n_nationkey WHEN 0 THEN 'c1 ' WHEN 1 THEN ' C2' WHEN 2 THEN 'C3' WHEN 3 THEN '' WHEN 4 THEN '' WHEN 5 THEN 'C5' ELSE 'X' || CAST(n_nationkey AS STRING) END AS label_code,
+  n_name AS category, 'region' || CAST(n_regionkey AS STRING) AS class_name, 'keep' AS action, CAST(NULL AS STRING) AS detail FROM {nation}""",
+    "qa": """SELECT CASE s_suppkey WHEN 1 THEN 'QA_1' WHEN 2 THEN ' qa_2' WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN 'qa_1 ' WHEN 6 THEN 'SVC_QA' ELSE 'QA-' || CAST(s_suppkey AS STRING) END AS id FROM {supplier}""",
     "screening": """SELECT d.source AS masterindex_id, d.lang || '.pdf' AS pdf_path_in_zip, d.doc_id AS source_page_number, d.doc_id AS page_number,
   CASE WHEN d.doc_id % 9 = 0 THEN '' ELSE 'h' || CAST(d.doc_id % 3 AS STRING) END AS image_sha256, d.doc_id * 2 + s.v AS seq,
   CASE (d.doc_id + s.v) % 10 WHEN 0 THEN 'failed' WHEN 1 THEN 'render_failed' WHEN 2 THEN 'quality_rejected' ELSE 'success' END AS status,

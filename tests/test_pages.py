@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from docflow.functions import text
 from docflow.operators import pages, review, screening
 from docflow.operators.snapshots import segments
+from docflow.plans import page_pipeline
 from docflow.sources import files
 from docflow.streaming.log import screen_stream
 
@@ -205,3 +206,64 @@ def test_files(spark, tmp_path):
     assert files.save_table(df, "docflow_files_test").count() == 1
     files.save_view(df, "docflow_view_test")
     assert spark.sql("SELECT * FROM docflow_view_test").count() == 1
+
+
+def test_members_of_containers(spark, tmp_path):
+    """Wrapper folders go, folders without a PDF stay, from the files to the inventory."""
+    made = {
+        "a.zip": ["w/v/M1/x/2.pdf", "w/v/M1/1.PDF", "w/v/M2/", "w/v/M3/note.txt", "w/v/M1/skip.txt", "other/x.txt"],
+        "b.zip": ["M1/9.pdf", "M4/sub/8.pdf", "loose.txt"],
+        "c.zip": ["only/text.txt", "empty/"],
+        "d.zip": [],
+    }
+    for name, paths in made.items():
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            for p in paths:
+                z.writestr(p, b"")
+    entries = files.zip_entries(spark, str(tmp_path / "*.zip"))
+    assert sorted(r.path for r in entries.where("is_dir").collect()) == ["empty/", "w/v/M2/"]
+    rows = pages.inventory(pages.members(entries)).collect()
+    got = [(r.masterindex_id, r.zip_path.rpartition("/")[2], r.pdf_path_in_zip, r.pdf_order_in_masterindex, r.pdf_count_in_masterindex, r.status) for r in rows]
+    want = [
+        ("M1", "b.zip", "M1/9.pdf", 1, 3, "ready"), ("M1", "a.zip", "w/v/M1/1.PDF", 2, 3, "ready"), ("M1", "a.zip", "w/v/M1/x/2.pdf", 3, 3, "ready"), ("M2", "a.zip", None, None, 0, "missing_pdf"),
+        ("M3", "a.zip", None, None, 0, "missing_pdf"), ("M4", "b.zip", "M4/sub/8.pdf", 1, 1, "ready"), ("only", "c.zip", None, None, 0, "missing_pdf"), ("empty", "c.zip", None, None, 0, "missing_pdf"),
+    ]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    one = spark.createDataFrame([("z", "a/M/x.pdf", False)], "zip_path string, path string, is_dir boolean")
+    assert [r.masterindex_id for r in pages.members(one).collect()] == ["M"] and pages.members(one.limit(0)).count() == 0
+
+
+def test_image_quality_from_pixels(spark):
+    import numpy as np
+
+    greys = {b"small": np.zeros((600, 400)), b"white": np.full((600, 700), 255), b"flat": np.full((600, 700), 90), b"good": np.arange(420_000).reshape(600, 700) % 250}
+    df = spark.createDataFrame([(k, bytearray(x)) for k, x in enumerate([*greys, b"broken"])] + [(9, None)], "id int, content binary")
+    got = {r.id: (r.quality_status, r.width, r.height, r.file_size) for r in pages.image_quality(df, lambda data: greys[data]).collect()}
+    assert got == {0: ("too_small", 400, 600, 5), 1: ("likely_blank", 700, 600, 5), 2: ("low_contrast", 700, 600, 4), 3: ("usable", 700, 600, 4), 4: ("corrupt", None, None, None), 9: ("corrupt", None, None, None)}
+
+
+def test_clean_up_deletes_once(spark, tmp_path):
+    paths = [str(tmp_path / f"{k}.png") for k in range(3)]
+    for p in paths[:2]:
+        open(p, "w").close()
+    listed = spark.createDataFrame([(p, "2020-01-01T00:00:00") for p in paths], "image_path string, rendered_at_utc string")
+    sheet = spark.createDataFrame([("accepted", "target", None)], "review_status string, predicted_label string, reviewed_label string")
+
+    def store(df):
+        df.write.parquet(str(tmp_path / "audit"))
+        return spark.read.parquet(str(tmp_path / "audit"))
+
+    import os
+
+    audit = page_pipeline.clean_up(listed, sheet, os.remove, F.lit("2024-01-01 00:00:00").cast("timestamp"), store=store)
+    for _ in range(2):
+        assert sorted(r.deletion_status for r in audit.collect()) == ["already_missing", "deleted", "deleted"]
+    with pytest.raises(ValueError):
+        page_pipeline.clean_up(listed, sheet, os.remove, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+
+
+def test_review_workbook_columns_and_order(spark):
+    log = spark.createDataFrame([("m2", "a", 1, 1, "h", 1, "failed", "unclear", None, "e", 2, 1, "x"), ("m1", "a", 2, 2, "h", 2, "failed", "unclear", None, "e", 2, 1, "x"), ("m1", "a", 1, None, "h", 3, "failed", "unclear", None, "e", 2, 1, "x")], "masterindex_id string, pdf_path_in_zip string, source_page_number long, page_number long, image_sha256 string, seq long, status string, label string, confidence double, error string, attempt_count int, retry_count int, model_id string")
+    book = page_pipeline.review_workbook(log)
+    assert book.columns == page_pipeline.REVIEW_COLUMNS and len(book.columns) == 24
+    assert [(r.masterindex_id, r.page_number, r.error, r.attempt_count, r.model_id, r.seed) for r in book.collect()] == [("m1", 2, "e", 2, "x", None), ("m1", None, "e", 2, "x", None), ("m2", 1, "e", 2, "x", None)]
