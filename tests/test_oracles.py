@@ -55,3 +55,10 @@ def test_entry_point(spark):
     assert set(QUERIES) <= set(e.queries())
     assert set(e.oracle_sql()) <= set(e.queries())
     assert len(e.entry(spark).columns) == 41
+
+
+def test_equal_stages_run_once(spark):
+    """The stack summary asks for completed stacks and labels in several places; equal exchanges are shared."""
+    df = QUERIES["stack_agg"](spark, DATA)
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
