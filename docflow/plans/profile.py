@@ -24,7 +24,7 @@ def schemas(tables: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
 
 def catalog_schemas(spark: SparkSession, schema: str | None = None) -> list[tuple[str, str, str]]:
     """(table, column, type) of all tables of a catalog schema, by the names in the catalog."""
-    return schemas({t.name: spark.table(f"{schema}.{t.name}" if schema else t.name) for t in spark.catalog.listTables(schema)})
+    return schemas({t.name: spark.table(f"{schema}.{t.name}" if schema and not t.isTemporary else t.name) for t in spark.catalog.listTables(schema)})
 
 
 def vocabulary(events: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from docflow.__main__ import main
+from docflow.operators import checks
 from docflow.operators.checks import ContractError
-from docflow.plans import page_pipeline
+from docflow.plans import page_pipeline, profile
 from docflow.sources.adapters import logical
 from docflow.sources.files import save_table
 
@@ -32,6 +33,23 @@ def test_command_line(spark, capsys, monkeypatch):
     assert code == 0, out.err
     assert spark.table("docflow_cli.stack_summary").count() == spark.table("docflow_cli.completed_stacks").count() > 0
     assert spark.table("training_pages").columns == spark.table("docflow_cli.page_labels").columns
+    # The command works in its schema; its tables are described by the catalog.
+    assert spark.catalog.currentDatabase().lower() == "docflow_cli"
+    told = profile.catalog_schemas(spark, "docflow_cli")
+    assert ("stack_summary", "stack_id", "string") in told and {t for t, _, _ in told} >= {"event", "page_labels"}
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_schema_and_output_checks(spark):
+    with pytest.raises(ContractError):
+        checks.use_schema(spark, "no_such_schema")
+    with pytest.raises(ContractError):
+        checks.require_output(spark, "default.no_such_table")
+    spark.sql("CREATE DATABASE IF NOT EXISTS docflow_checks")
+    assert checks.use_schema(spark, "docflow_checks") == "DOCFLOW_CHECKS" and spark.catalog.currentDatabase().lower() == "docflow_checks"
+    spark.catalog.setCurrentDatabase("default")
+    save_table(spark.range(3), "docflow_checks.t")
+    assert checks.require_output(spark, "docflow_checks.t").count() == 3
 
 
 def test_page_phases(spark, tmp_path):
@@ -68,5 +86,10 @@ def test_page_phases(spark, tmp_path):
 
         os.unlink(path)
 
-    audit = page_pipeline.clean_up(images, done, delete, F.lit(datetime(2024, 1, 31))).collect()
-    assert [r.deletion_status for r in audit] == ["deleted", "already_missing", "retention_not_reached"] and not old.exists()
+    def store(df):
+        df.write.parquet(str(tmp_path / "audit"))
+        return spark.read.parquet(str(tmp_path / "audit"))
+
+    audit = page_pipeline.clean_up(images, done, delete, F.lit(datetime(2024, 1, 31)), store=store)
+    for _ in range(2):
+        assert sorted(r.deletion_status for r in audit.collect()) == ["already_missing", "deleted", "retention_not_reached"] and not old.exists()
