@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import tempfile
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Working set of one vectorised step: a chunk holds at most so many bytes of text, or one row.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def reachable(spark: SparkSession) -> None:
@@ -121,17 +122,30 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def release() -> None:
+    """Give free memory back: a worker lives on and the next operator's tasks run beside it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        # Not every C library has it.
+        pass
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most `limit` bytes in `column`; a longer row comes alone."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        _, at = text_buffers(batch.column(batch.schema.get_field_index(column)))
-        start = 0
-        while start < batch.num_rows:
-            end = max(start + 1, int(np.searchsorted(at, at[start] + limit, side="right")) - 1)
-            yield batch.slice(start, end - start)
-            start = end
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            _, at = text_buffers(batch.column(batch.schema.get_field_index(column)))
+            start = 0
+            while start < batch.num_rows:
+                end = max(start + 1, int(np.searchsorted(at, at[start] + limit, side="right")) - 1)
+                yield batch.slice(start, end - start)
+                start = end
+    finally:
+        release()
 
 
 def col(batch: pa.RecordBatch, name: str) -> pa.Array:
