@@ -18,10 +18,10 @@ rows of a band are a bucket.
 
 Exact copies (equal word sequences) become one node, by an aggregation that combines before it shuffles. Buckets of up
 to `SMALL` nodes give all their pairs; larger ones pair each node with their most central one, whose own buckets hold the most nodes (the original of
-many copies, as a rule). Pairs are verified by the exact weighted Jaccard similarity, at least `THRESHOLD`, and links become classes by
-label propagation with pointer jumping over written tables. Where large buckets still hold several classes, the nodes outside the most
-frequent class meet all nodes there, in blocks of about `BLOCK`: first by their samples, of which at least `LEAST_EQUAL` must agree (a pair at
-the threshold misses that once in 100,000), then the texts that are left by the exact similarity. No group is gathered
+many copies, as a rule). Of a pair at least `LEAST_EQUAL` samples must agree, which one at the threshold misses once in 100,000; then it is verified
+by the exact weighted Jaccard similarity of its texts, at least `THRESHOLD`, and links become classes by label propagation with pointer
+jumping over written tables. Where large buckets still hold several classes, the nodes outside the most frequent class meet all nodes there, in
+blocks of about `BLOCK`, in the same two steps. No group is gathered
 in one task, and the pairs of a group are never listed.
 
 Texts are shuffled only for documents that share a bucket or have copies; while their ids are few, these are broadcast and texts stay in place.
@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import SMALL_ROWS, chunks, col, discard, materialise, spread_join, table, text_buffers
+from docflow.llm.common import CHUNK_BYTES, SMALL_ROWS, chunks, col, discard, materialise, release, spread_join, table, text_buffers
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS, FIRST_BANDS = 16, 3, 6
@@ -78,7 +78,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
         p = np.full(n, b, dtype=np.uint64)
         p[0] = 1
         out.append(np.multiply.accumulate(p))
-    if n <= 4 << 20:
+    if n <= 2 << 20:
         _powers = (out[0], out[1])
     return out[0], out[1]
 
@@ -166,7 +166,7 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rng.gamma(2.0, 1.0, n), rng.gamma(2.0, 1.0, n), rng.random(n)
 
 
-@lru_cache(maxsize=96)
+@lru_cache(maxsize=48)
 def _sample_table(weight: float) -> np.ndarray:
     """For a weight: of each draw, c / (y e^r) as ordered bits in the upper half and the step t, mixed, in the lower."""
     r, c, beta = _draws()
@@ -335,11 +335,39 @@ def fit(frame: DataFrame, kept: list[str]) -> Weights:
     return Weights(counts, docs)
 
 
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of which at least `LEAST_EQUAL` samples agree."""
+
+    def run(batches):
+        for b in batches:
+            for k in range(0, b.num_rows, 10_000):
+                part = b.slice(k, 10_000)
+                sa, sb = (np.frombuffer(b"".join(col(part, c).to_pylist()), dtype=np.uint32).reshape(part.num_rows, -1) for c in ("sa", "sb"))
+                yield pa.RecordBatch.from_arrays([col(part, "a"), col(part, "b")], ["a", "b"]).filter(pa.array((sa == sb).sum(axis=1) >= LEAST_EQUAL))
+
+    side = lambda x: nodes.select(F.col("id").alias(x), F.col("sample").alias(f"s{x}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, pairs.schema).distinct()
+
+
+def _slices(batches, *columns: str, limit: int = CHUNK_BYTES, rows: int = 2_000):
+    """Slices of the batches with at most `limit` bytes in the columns together; a longer row comes alone."""
+    try:
+        for b in batches:
+            at = sum(text_buffers(col(b, c))[1] for c in columns)
+            start = 0
+            while start < b.num_rows:
+                end = min(start + rows, max(start + 1, int(np.searchsorted(at, at[start] + limit, side="right")) - 1))
+                yield b.slice(start, end - start)
+                start = end
+    finally:
+        release()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
 
     def run(batches):
-        for b in _small(batches, "ta", 5_000):
+        for b in _slices(batches, "ta", "tb"):
             good = similarity(weights.value, col(b, "ta"), col(b, "tb")) >= threshold
             yield pa.RecordBatch.from_arrays([col(b, "a"), col(b, "b")], ["a", "b"]).filter(pa.array(good))
 
@@ -402,7 +430,7 @@ def _shared(weights: Weights, left: tuple, right: tuple, n_left: int, n_right: i
     return out
 
 
-def _linked(large: DataFrame, open_: DataFrame, nodes: DataFrame, texts: DataFrame, weights, threshold: float, kept: list[str]) -> DataFrame:
+def _linked(large: DataFrame, open_: DataFrame, nodes: DataFrame, frame: DataFrame, weights, threshold: float, kept: list[str]) -> DataFrame:
     """Links (a, b) between classes that share large buckets, found in blocks.
 
     large: key, id, label; open_: key and the least label of buckets with several classes. Buckets of the same least label
@@ -460,6 +488,7 @@ def _linked(large: DataFrame, open_: DataFrame, nodes: DataFrame, texts: DataFra
                     b.append(max(int(ids[0][i]), int(ids[1][j])))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    texts = materialise(_with_texts(frame, materialise(candidates.select("id").distinct(), "near-wanted", kept)), "near-texts", kept)
     return candidates.join(texts.hint("merge"), "id").groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
@@ -478,7 +507,7 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     crowded = members.where(F.col("n") > SMALL)
     central = crowded.join(crowded.groupBy("id").agg(F.sum("n").alias("near")), "id").groupBy("key").agg(F.max_by("id", F.struct("near", -F.col("id"))).alias("leader"), F.first("n").alias("n"))
     many = spread_join(crowded.select("id", "key"), central, "key", "n", ["id"], per_task=1_000).where("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
-    pairs = materialise(few.unionByName(many).distinct(), "near-pairs", kept)
+    pairs = materialise(_likely(few.unionByName(many).distinct(), nodes), "near-pairs", kept)
     wanted = materialise(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "near-wanted", kept)
     texts = _with_texts(frame, wanted)
     texts = materialise(texts.distinct() if _repeats(signed) else texts, "near-texts", kept)
@@ -487,7 +516,7 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     large = crowded.join(labels, "id", "left").select("key", "n", "id", F.coalesce("label", "id").alias("label"))
     open_ = materialise(large.groupBy("key").agg(F.min("label").alias("cluster"), F.max("label").alias("m"), F.first("n").alias("n")).where("cluster < m").select("key", "cluster", "n"), "near-open", kept)
     if not open_.isEmpty():
-        more = materialise(_linked(large, open_, nodes, texts, weights, threshold, kept), "near-edges", kept)
+        more = materialise(_linked(large, open_, nodes, frame, weights, threshold, kept), "near-edges", kept)
         if not more.isEmpty():
             labels = components(edges.unionByName(more), kept)
     named = materialise(nodes.select("digest", "id", "n").join(labels, "id", "left").select("digest", "n", F.coalesce("label", "id").alias("class_id")), "near-classes", kept)
