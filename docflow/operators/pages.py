@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,10 +67,20 @@ def inventory(members: DataFrame) -> DataFrame:
 
 
 def number_pages(pages: DataFrame) -> DataFrame:
-    """page_number over all files of a master index; rows without a source page (file not opened) get none and do not count."""
+    """page_number over all files of a master index; rows without a source page (file not opened) get none and do not count.
+
+    Pages are numbered within their file and moved on by the pages of the files before, so that a large master index is as many tasks as it
+    has files.
+    """
+    file = ["masterindex_id", "pdf_order_in_masterindex", "pdf_path_in_zip"]
     real = pages.where(F.col("source_page_number").isNotNull())
-    order = [F.col("pdf_order_in_masterindex").asc_nulls_last(), F.col("pdf_path_in_zip").asc_nulls_last(), F.col("source_page_number")]
-    numbered = running_number(real, ["masterindex_id"], order)
+    own = running_number(real, file, [F.col("source_page_number")], "__own")
+    order = [F.col(c).asc_nulls_last() for c in file[1:]]
+    before = Window.partitionBy("masterindex_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = real.groupBy(*file).agg(F.count(F.lit(1)).alias("__n"))
+    moved = sizes.select(*[F.col(c).alias(f"__{c}") for c in file], F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in file]
+    numbered = own.join(moved, same[0] & same[1] & same[2]).select(*pages.columns, (F.col("__own") + F.col("__before")).cast("int").alias("page_number"))
     return numbered.unionByName(pages.where(F.col("source_page_number").isNull()).withColumn("page_number", F.lit(None).cast("int")))
 
 
