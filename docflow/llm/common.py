@@ -17,13 +17,19 @@ from pyspark.sql import functions as F
 
 #: Working set of one vectorised step: a chunk holds at most so many bytes of text, or one row.
 CHUNK_BYTES = 1 << 20
+#: Rows of an Arrow batch between the JVM and Python. Spark's default of 10,000 holds tens of MB on both sides of every task.
+ARROW_ROWS = 2_000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def reachable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and keep Arrow batches small.
 
-    This serves local sessions and clusters that see the folder; others get the package by `--py-files`.
+    This serves local sessions and clusters that see the folder; others get the package by `--py-files`. Fewer rows a batch than `ARROW_ROWS`, if the
+    session says so, stay.
     """
+    if not 0 < int(spark.conf.get(_ROWS)) <= ARROW_ROWS:
+        spark.conf.set(_ROWS, str(ARROW_ROWS))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
@@ -69,6 +75,7 @@ def materialise(df: DataFrame, tag: str, kept: list[str] | None = None) -> DataF
     `kept` gets the path, for `discard` once all that reads the table is itself written.
     """
     spark = df.sparkSession
+    reachable(spark)
     path = scratch_path(spark, tag)
     df.write.parquet(path)
     if kept is not None:
@@ -134,6 +141,7 @@ def release() -> None:
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most `limit` bytes in `column`; a longer row comes alone."""
+    done = 0
     try:
         for batch in batches:
             if not batch.num_rows:
@@ -143,7 +151,9 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             while start < batch.num_rows:
                 end = max(start + 1, int(np.searchsorted(at, at[start] + limit, side="right")) - 1)
                 yield batch.slice(start, end - start)
-                start = end
+                start, done = end, done + 1
+                if done % 16 == 0:
+                    release()
     finally:
         release()
 
